@@ -17,6 +17,8 @@ WHITESPACE = "".join(c for c in _CHARS if c.isspace())
 _OTHER_DIGITS = "".join(c for c in _CHARS if c > "9" and unicodedata.decimal(c, None) is not None)
 _AS_ASCII = "".join(str(unicodedata.decimal(c)) for c in _OTHER_DIGITS)
 
+_OTHER_DIGIT = r"[\p{Nd}&&[^0-9]]"
+
 # Superscripts and the like: digits that are not decimal, so ``\d`` does not match them.
 _DIGIT_SIGNS = "".join(c for c in _CHARS if c.isdigit() and unicodedata.decimal(c, None) is None)
 HAS_DIGIT = rf"(?U)[\d{_DIGIT_SIGNS}]"
@@ -56,8 +58,10 @@ def ascii_digits(text: Column, drop: str = "") -> Column:
 
 def string_to_number(text: Column) -> Column:
     """The first run of digits and commas as BIGINT; NULL if there is no digit in it."""
-    run = F.regexp_extract(text, r"(?U)[\d,]+", 0)
-    return F.nullif(ascii_digits(run, drop=","), F.lit("")).try_cast("bigint")
+    plain = F.replace(F.regexp_extract(text, r"[0-9,]+", 0), F.lit(","), F.lit(""))
+    other = ascii_digits(F.regexp_extract(text, r"(?U)[\d,]+", 0), drop=",")
+    digits = F.when(text.rlike(_OTHER_DIGIT), other).otherwise(plain)
+    return F.nullif(digits, F.lit("")).try_cast("bigint")
 
 
 def integer_text(text: Column) -> Column:

@@ -40,9 +40,14 @@ def _open_rooms(features: Column) -> Column:
 
 
 def _mean(values: Column) -> Column:
-    """Mean, added up left to right in page order; NULL for none."""
-    total = F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
-    return F.when(F.size(values) > 0, total / F.size(values))
+    """Mean of the non-NULL values, added up left to right; NULL for none. One pass."""
+
+    def add(acc: Column, v: Column) -> Column:
+        total = acc["total"] + F.coalesce(v, F.lit(0.0))
+        return F.struct(total.alias("total"), (acc["n"] + v.isNotNull().cast("int")).alias("n"))
+
+    start = F.struct(F.lit(0.0).alias("total"), F.lit(0).alias("n"))
+    return F.aggregate(values, start, add, lambda acc: F.try_divide(acc["total"], acc["n"]))
 
 
 def average_price(features: Column) -> Column:
@@ -53,8 +58,7 @@ def average_price(features: Column) -> Column:
         weekly = F.lower(entry["key"]).contains("pw")
         return F.when(weekly, weekly_to_monthly(number)).otherwise(number.cast("double"))
 
-    prices = F.filter(F.transform(_open_rooms(features), monthly), lambda p: p.isNotNull())
-    return _mean(prices).try_cast("int")
+    return _mean(F.transform(_open_rooms(features), monthly)).try_cast("int")
 
 
 def room_sizes(features: Column) -> Column:
@@ -70,7 +74,7 @@ def average_deposit(features: Column) -> Column:
     """Mean of the numbers under the labels that mention a deposit."""
     rows = F.filter(_entries(features), lambda e: F.lower(e["key"]).contains("deposit"))
     numbers = F.transform(rows, lambda e: string_to_number(e["value"]).cast("double"))
-    return _mean(F.filter(numbers, lambda n: n.isNotNull()))
+    return _mean(numbers)
 
 
 def feature(features: Column, name: str) -> Column:

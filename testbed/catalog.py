@@ -94,7 +94,7 @@ def word_count(spark, sf_dir):
 
 
 def new_urls(spark, sf_dir):
-    batch = D.listing_columns(D.table(spark, sf_dir, "orders")).select("url")
+    batch = D.listing_columns(D.orders_table(spark, sf_dir)).select("url")
     ignored = D.curation(spark, sf_dir).filter(F.col("list_name") == "ignored")
     return ingest.new_urls(batch, D.known_ids(spark, sf_dir), ignored)
 
@@ -110,12 +110,12 @@ def collect_urls(spark, sf_dir):
 
 def direct_line(spark, sf_dir):
     flag = enrich.direct_line(F.col("nearest_station")).alias("direct_line_to_office")
-    columns = D.listing_columns(D.table(spark, sf_dir, "orders"))
+    columns = D.listing_columns(D.orders_table(spark, sf_dir))
     return columns.select("id", "nearest_station", flag)
 
 
 def commute_minutes(spark, sf_dir):
-    listings = D.listing_columns(D.table(spark, sf_dir, "orders")).select("id", "latitude", "longitude")
+    listings = D.listing_columns(D.orders_table(spark, sf_dir)).select("id", "latitude", "longitude")
     responses = D.commute_responses(spark, sf_dir)
     measure = _order_ids(spark, sf_dir)
     return enrich.commute_times(listings, responses, measure=measure).drop("latitude", "longitude")
@@ -158,17 +158,17 @@ def invalid_statuses(spark, sf_dir):
 
 
 def drop_ignored(spark, sf_dir):
-    listings = D.listing_columns(D.table(spark, sf_dir, "orders")).select("id", "url")
+    listings = D.listing_columns(D.orders_table(spark, sf_dir)).select("id", "url")
     return curate.drop_ignored(listings, merged_curation(spark, sf_dir))
 
 
 def apply_statuses(spark, sf_dir):
-    listings = D.listing_columns(D.table(spark, sf_dir, "orders")).select("id", F.lit("").alias("status"))
+    listings = D.listing_columns(D.orders_table(spark, sf_dir)).select("id", F.lit("").alias("status"))
     return curate.apply_statuses(listings, merged_curation(spark, sf_dir))
 
 
 def live_listings(spark, sf_dir):
-    listings = D.listing_columns(D.table(spark, sf_dir, "orders")).select("id", "url")
+    listings = D.listing_columns(D.orders_table(spark, sf_dir)).select("id", "url")
     return live.live_listings(listings, D.page_snapshots(spark, sf_dir))
 
 
@@ -194,7 +194,7 @@ def map_markers(spark, sf_dir):
 
 
 def run_metrics(spark, sf_dir):
-    listings = D.listing_columns(D.table(spark, sf_dir, "orders")).select("id", "url")
+    listings = D.listing_columns(D.orders_table(spark, sf_dir)).select("id", "url")
     flags = live.latest_page_flags(D.page_snapshots(spark, sf_dir))
     active = flags.filter(~F.col("expired") & F.col("contactable"))
     return metrics.run_metrics(

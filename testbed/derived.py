@@ -25,6 +25,7 @@ OTHER_STATIONS = (
 STATIONS = DIRECT_LINE_STATIONS + OTHER_STATIONS
 POSTERS = ("current flatmate", "live out landlord", "agent")
 TYPES = ("Double room", "Studio flat", "Room in a shared house", "Whole property to let")
+ROOM_TEXTS = ("double", "single", "double (NOW LET)")  # return flags A, N, R
 AREAS = ("London", "North London", "Reading", "South London")
 WORDS = (
     "we", "us", "our", "ours", "together", "household", "home", "shared", "sharing",
@@ -36,57 +37,61 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
+def orders_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders``, spread over the cores if its files are fewer (as in a small test table)."""
+    orders = table(spark, sf_dir, "orders")
+    cores = spark.sparkContext.defaultParallelism
+    return orders.repartition(cores) if orders.rdd.getNumPartitions() < cores else orders
 
 
-def price_label() -> Column:
-    """£… per month, or per week for every third line; 1,000 and up with a comma."""
-    q = F.col("l_quantity").cast("int")
-    weekly = F.concat(F.lit("£"), (100 + 3 * q).cast("string"), F.lit("_pw"))
-    amount = 500 + 10 * q
-    monthly = F.concat(F.lit("£"), F.format_number(amount, 0), F.lit("_pcm"))
-    return F.when(F.col("l_linenumber") % 3 == 0, weekly).otherwise(monthly)
+def tasks(spark: SparkSession) -> int:
+    """As many tasks as a shuffle has, at least one per core."""
+    partitions = spark.conf.get("spark.sql.shuffle.partitions", "200")
+    cores = spark.sparkContext.defaultParallelism
+    return max(cores, int(partitions) if partitions.isdigit() else cores)
 
 
-def room_text() -> Column:
-    return (
-        F.when(F.col("l_returnflag") == "A", "double")
-        .when(F.col("l_returnflag") == "N", "single")
-        .otherwise("double (NOW LET)")
-    )
+def _pick(values: tuple[str, ...], index: Column) -> Column:
+    return F.get(F.split(F.lit("|".join(values)), r"\|"), index.cast("int"))
+
+
+def price_label(quantity: Column, weekly: Column) -> Column:
+    """£… per week or per month; 1,000 and up with a comma."""
+    week = F.concat(F.lit("£"), (100 + 3 * quantity).cast("string"), F.lit("_pw"))
+    month = F.concat(F.lit("£"), F.format_number(500 + 10 * quantity, 0), F.lit("_pcm"))
+    return F.when(weekly, week).otherwise(month)
 
 
 def listing_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, prices): the price entries of each order in page order.
+    """(o_orderkey, prices): the price entries of each order in page order.
 
-    A repeated label keeps its first place and takes its last value. The first aggregate leaves
-    at most 100 labels per order, however many lines the order has, so the list stays small.
+    Lines are in page order by ship date, line number, return flag and quantity (lines equal in
+    all four give the same entry). Every third line number is a weekly price. A repeated label
+    keeps its first place and takes its last value; both are numbers, so the first aggregate is
+    a hash aggregate, and it leaves at most 100 labels per order, however many lines the order
+    has: the list in the second stays small.
     """
-    line = table(spark, sf_dir, "lineitem")
-    place = F.struct(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_returnflag"
-    )
-    rows = line.select(
-        F.col("l_orderkey").alias("id"), price_label().alias("key"), place.alias("place")
+    flags = F.array(*[F.lit(flag) for flag in "ANR"])
+    day = F.unix_date(F.col("l_shipdate").cast("date")).cast("bigint")
+    flag = F.array_position(flags, F.col("l_returnflag"))
+    place = day * 2**24 + F.col("l_linenumber") * 4 + flag
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        (F.col("l_linenumber") % 3 == 0).alias("weekly"),
+        place.alias("place"),
     )
-    labels = rows.groupBy("id", "key").agg(F.min("place").alias("first"), F.max("place").alias("last"))
-    entry = F.struct(
-        F.col("first"),
-        F.col("key"),
-        F.col("last.l_returnflag").alias("l_returnflag"),
+    labels = rows.groupBy("o_orderkey", "quantity", "weekly").agg(
+        F.min("place").alias("first"), F.max("place").alias("last")
     )
-    lists = labels.groupBy("id").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+    entry = F.struct("first", "quantity", "weekly", F.pmod("last", F.lit(4)).alias("flag"))
+    lists = labels.groupBy("o_orderkey").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
 
     def as_entry(e: Column) -> Column:
-        text = (
-            F.when(e["l_returnflag"] == "A", "double")
-            .when(e["l_returnflag"] == "N", "single")
-            .otherwise("double (NOW LET)")
-        )
-        return F.struct(e["key"].alias("key"), text.alias("value"))
+        value = _pick(ROOM_TEXTS, e["flag"] - 1)
+        return F.struct(price_label(e["quantity"], e["weekly"]).alias("key"), value.alias("value"))
 
-    return lists.select("id", F.transform("entries", as_entry).alias("prices"))
+    return lists.select("o_orderkey", F.transform("entries", as_entry).alias("prices"))
 
 
 def label_entries() -> Column:
@@ -127,8 +132,8 @@ def label_entries() -> Column:
     return F.filter(F.array(*structs), lambda e: e["value"].isNotNull())
 
 
-def listing_columns(orders: DataFrame) -> DataFrame:
-    """All columns of ``listings_raw`` but ``features``; a projection of ``orders``."""
+def listing_columns(orders: DataFrame, *features: Column) -> DataFrame:
+    """Wide listings as a projection of ``orders``, with ``features`` if given."""
     okey, ckey = F.col("o_orderkey"), F.col("o_custkey")
     okey_text = okey.cast("string")
     name = _pick(STATIONS, ckey % len(STATIONS))
@@ -146,7 +151,7 @@ def listing_columns(orders: DataFrame) -> DataFrame:
     return orders.select(
         okey_text.alias("id"),
         F.concat(F.lit("listing?listing_id="), okey_text, F.lit("&mode=list")).alias("url"),
-        label_entries().alias("labels"),
+        *features,
         _pick(TYPES, ckey % len(TYPES)).alias("type"),
         _pick(AREAS, okey % len(AREAS)).alias("area"),
         station.alias("nearest_station"),
@@ -166,24 +171,24 @@ def listing_columns(orders: DataFrame) -> DataFrame:
 
 
 def listings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide listings with the feature map, prices first."""
-    orders = table(spark, sf_dir, "orders")
-    prices = listing_prices(spark, sf_dir).withColumn("id", F.col("id").cast("string"))
-    measure = orders.select(F.col("o_orderkey").cast("string").alias("id"))
-    joined = lookup_join(listing_columns(orders), prices, "id", "left", measure)
+    """Wide listings with the feature map, prices first; only the order columns are shuffled."""
+    orders = orders_table(spark, sf_dir)
+    prices = listing_prices(spark, sf_dir)
+    keys = table(spark, sf_dir, "orders").select("o_orderkey")
+    joined = lookup_join(orders, prices, "o_orderkey", "left", keys)
     none = F.expr("array()").cast("array<struct<key:string,value:string>>")
-    entries = F.concat(F.coalesce("prices", none), F.col("labels"))
-    return joined.withColumn("features", F.map_from_entries(entries)).drop("prices", "labels")
+    entries = F.concat(F.coalesce("prices", none), label_entries())
+    return listing_columns(joined, F.map_from_entries(entries).alias("features"))
 
 
 def listings_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide listings whose feature map has no prices: no lines are read."""
-    columns = listing_columns(table(spark, sf_dir, "orders"))
-    return columns.withColumn("features", F.map_from_entries("labels")).drop("labels")
+    features = F.map_from_entries(label_entries()).alias("features")
+    return listing_columns(orders_table(spark, sf_dir), features)
 
 
 def known_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
+    orders = orders_table(spark, sf_dir)
     old = orders.filter(F.col("o_orderdate") < F.lit(NEW_FROM).cast("timestamp"))
     return old.select(F.col("o_orderkey").cast("string").alias("id"))
 
@@ -198,7 +203,7 @@ def curation(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(okey % 29 == 0, "messaged"),
         )
     )
-    orders = table(spark, sf_dir, "orders")
+    orders = orders_table(spark, sf_dir)
     return orders.select(F.explode(lists).alias("list_name"), okey.cast("string").alias("id"))
 
 
@@ -222,7 +227,7 @@ def commute_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = (
         F.when(kind == 0, '{"routes":[]}').when(kind == 1, "{}").when(kind == 2, "denied").otherwise(good)
     )
-    orders = table(spark, sf_dir, "orders").filter(okey % 23 != 0)
+    orders = orders_table(spark, sf_dir).filter(okey % 23 != 0)
     return orders.withColumn("dest", F.explode(F.array(F.lit(1), F.lit(2)))).select(
         okey.cast("string").alias("id"),
         "dest",
@@ -236,7 +241,7 @@ def page_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every 13th listing has none; the older one is always live.
     """
-    orders = table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 13 != 0)
+    orders = orders_table(spark, sf_dir).filter(F.col("o_orderkey") % 13 != 0)
     columns = listing_columns(orders).select("id", "url", "expired", "contactable")
     late = F.col("age") == 0
     return columns.withColumn("age", F.explode(F.array(F.lit(0), F.lit(1)))).select(
@@ -254,7 +259,12 @@ def _tag(name: str, css: str, content: Column) -> Column:
 
 
 def render_pages(listings: DataFrame) -> DataFrame:
-    """(page_id, url, html): listings written out as listing pages."""
+    """(page_id, url, html): listings written out as listing pages.
+
+    The small rows are spread evenly before they grow to pages, so that parsing is spread too.
+    """
+    listings = listings.repartition(tasks(listings.sparkSession))
+
     def row(e: Column) -> Column:
         label = F.upper(F.replace(e["key"], F.lit("_"), F.lit(" ")))
         label = F.replace(label, F.lit("£"), F.lit("&pound;"))
@@ -312,4 +322,4 @@ def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _tag("ul", "listing-results", items),
         F.lit("</html>"),
     )
-    return table(spark, sf_dir, "orders").select(okey.alias("page_no"), html.alias("html"))
+    return orders_table(spark, sf_dir).select(okey.alias("page_no"), html.alias("html"))

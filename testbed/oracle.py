@@ -61,7 +61,7 @@ price_rows AS (
       ELSE '£' || format('{{:,}}', 500 + 10 * CAST(l_quantity AS INT)) || '_pcm' END AS key,
     CASE l_returnflag WHEN 'A' THEN 'double' WHEN 'N' THEN 'single' ELSE 'double (NOW LET)' END AS value,
     row_number() OVER (PARTITION BY l_orderkey ORDER BY
-      l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity, l_returnflag) AS pos
+      CAST(l_shipdate AS DATE), l_linenumber, l_returnflag, l_quantity, CASE WHEN l_linenumber % 3 = 0 THEN 1 ELSE 0 END) AS pos
   FROM lineitem),
 price_entries AS (
   SELECT id, min(pos) AS pos, key, arg_max(value, pos) AS value FROM price_rows GROUP BY id, key),
