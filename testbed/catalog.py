@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,10 @@ from rentrank.functions.dates import last_tuesday_9am
 from rentrank.functions.text import clean_string, count_words, id_from_url, string_to_number
 from rentrank.operators import curate, enrich, export, extract, ingest, live, markers, metrics
 from rentrank.operators import normalise, score, search, validate
+from rentrank.plans import daily
+from rentrank.plans.daily import RunPaths
 from rentrank.plans.rooms import score_rooms
+from rentrank.schema import EXPORT_COLS
 from rentrank.session import work_dir
 from rentrank.settings import JobConfig
 from rentrank.sources import tables
@@ -256,6 +260,25 @@ def status_stream(spark, sf_dir):
     return tables.load_curation(spark, f"{base}/curation")
 
 
+def daily_run(spark, sf_dir):
+    """Two full runs over written tables: the first adds rooms, the second applies the statuses."""
+    base = work_dir(spark, "daily")
+    names = ("listings", "curation", "export", "markers", "pages", "results")
+    paths = RunPaths(*[f"{base}/{n}" for n in names], commute_responses=f"{base}/commutes")
+    D.render_pages(D.listings_raw(spark, sf_dir)).write.parquet(paths.listing_pages)
+    D.result_pages(spark, sf_dir).write.parquet(paths.result_pages)
+    D.commute_responses(spark, sf_dir).write.parquet(paths.commute_responses)
+    tables.append_to_curation(D.curation(spark, sf_dir), paths.curation)
+    updates = D.status_updates(D.table(spark, sf_dir, "events"))
+    blank = F.lit(None).cast("string")
+    edited = [F.col(c) if c in updates.columns else blank.alias(c) for c in EXPORT_COLS]
+    tables.write_export(updates.select(*edited), paths.export)
+    every_page = replace(CONFIG, number_of_pages=2**62)
+    daily.daily_run(spark, paths, every_page)
+    daily.daily_run(spark, paths, replace(every_page, update_only=True))
+    return tables.load_listings(spark, paths.listings).select("id", "url", "status", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "average_price": average_price,
     "room_sizes": room_sizes,
@@ -292,4 +315,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extract_links": extract_links,
     "incremental_ingest": incremental_ingest,
     "status_stream": status_stream,
+    "daily_run": daily_run,
 }

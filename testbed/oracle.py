@@ -377,5 +377,10 @@ ORACLES: dict[str, str] = {
         f"SELECT id, '{D.DOMAIN}/' || url AS url, score FROM rooms WHERE reason IS NULL "
         "AND id NOT IN (SELECT id FROM seeds WHERE list_name = 'ignored')"
     ),
+    "daily_run": listing_sql(
+        f"SELECT r.id, '{D.DOMAIN}/' || url AS url, s.status, score FROM rooms r JOIN statuses s USING (id) "
+        "WHERE reason IS NULL AND id IN (SELECT CAST((o_orderkey * 5 + j * 7) % 100000 AS VARCHAR) "
+        "FROM orders CROSS JOIN range(10) AS g(j) WHERE (o_orderkey + j) % 9 <> 0)"
+    ),
     "status_stream": listing_sql("SELECT list_name, id FROM merged"),
 }
