@@ -1,8 +1,10 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import TABLES, differences
+from testbed.catalog import QUERIES
+from testbed.oracle import ORACLES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -15,11 +17,11 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_oracle(spark, db, name):
-    got = queries()[name](spark, SF_DIR).toPandas()
+    got = QUERIES[name](spark, SF_DIR).toPandas()
     assert len(got) > 0
-    assert differences(got, db.sql(oracle_sql()[name]).df()) is None
+    assert differences(got, db.sql(ORACLES[name]).df()) is None
 
 
 def test_entry(spark):
