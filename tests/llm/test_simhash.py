@@ -1,0 +1,159 @@
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from rentrank.llm import bktree, simhash
+from rentrank.llm.components import components
+
+SCHEMA = "doc_id long, text string"
+
+
+def plain_fingerprint(text):
+    table = {i: i + 32 for i in range(65, 91)}
+    words = [w for w in __import__("re").split("[\x20\x09-\x0d]+", (text or "").translate(table)) if w]
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << j for j in range(64) if 2 * sum(h >> j & 1 for h in hashes) > len(hashes))
+
+
+def plain_groups(rows, radius=2):
+    prints = [plain_fingerprint(t) for _, t in rows]
+    group = list(range(len(rows)))
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if bin(prints[i] ^ prints[j]).count("1") <= radius:
+                group[root(i)] = root(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            least[root(i)] = min(least.get(root(i), d), d)
+    return sorted(
+        ((d, f"{prints[i]:016x}", least.get(root(i))) for i, (d, _) in enumerate(rows)), key=repr
+    )
+
+
+def family(rng, n, words=60):
+    base = [rng.choice("abcdefghij") * rng.randint(1, 4) for _ in range(words)]
+    out = []
+    for _ in range(n):
+        text = list(base)
+        for _ in range(rng.randint(0, 2)):
+            text[rng.randrange(words)] = "x" * rng.randint(1, 5)
+        out.append(" ".join(text))
+    return out
+
+
+def some_rows():
+    rng = random.Random(5)
+    texts = [t for _ in range(12) for t in family(rng, 12)]
+    texts += [None, "", " \n\t", "One", "one", "two words", "A b c\x1cd", "ÄÖ äö ÄÖ x", "w " * 30_000]
+    rows = list(enumerate(texts))
+    return rows + [(None, texts[0]), (None, "all alone here now"), (3, texts[3]), (3, "another text of three")]
+
+
+def test_groups_equal_brute_force(spark):
+    rows = some_rows()
+    frame = spark.createDataFrame([(d, t, "c") for d, t in rows], SCHEMA + ", fp string")
+    got = sorted((tuple(r) for r in simhash.near_duplicates(frame).collect()), key=repr)
+    assert got == plain_groups(rows)
+
+
+def test_full_shards_and_small_buffers_lose_nothing(spark, monkeypatch):
+    rows = some_rows()
+    monkeypatch.setattr(simhash, "SHARD_NODES", 3)
+    shards = simhash._shards(spark.createDataFrame(rows, SCHEMA).transform(simhash.fingerprints).select("fp").distinct(), 2)
+    assert shards.filter("slice > 0").count() > 0
+    frame = spark.createDataFrame(rows, SCHEMA)
+    assert sorted((tuple(r) for r in simhash.near_duplicates(frame).collect()), key=repr) == plain_groups(rows)
+
+
+@pytest.mark.parametrize("limit", [1, 7, 50])
+def test_stream_of_batches(monkeypatch, limit):
+    import pyarrow as pa
+
+    monkeypatch.setattr(simhash, "SEARCH_ROWS", limit)
+    rng = np.random.default_rng(1)
+    shard = np.sort(rng.integers(0, 4, 300))
+    base = rng.integers(0, 2**63, 4, dtype=np.uint64)
+    fp = base[shard] ^ (np.uint64(1) << rng.integers(0, 60, 300).astype(np.uint64))
+    pairs = np.unique(np.stack([shard.astype(np.uint64), fp]), axis=1)
+    shard, fp = pairs[0].astype(np.int64), pairs[1]
+    member = rng.random(len(fp)) < 0.6
+    order = np.lexsort((~member, shard))
+    cols = [shard[order].astype(np.int32), shard[order], np.zeros(len(fp), np.int32), member[order], fp[order].view(np.int64)]
+    names = ["block", "value", "slice", "member", "fp"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names)
+    # A shard's members reach the search before its other rows.
+    parts = [batch.slice(i, 60) for i in range(0, len(fp), 60)]
+    monkeypatch.setattr(simhash, "SEARCH_ROWS", max(limit, 80))
+    found = [p for p in simhash._searcher(2)(iter(parts))]
+    links = {(u, v) for p in found for u, v in zip(p.column("u").to_pylist(), p.column("v").to_pylist())}
+    want = set()
+    for s in range(4):
+        own = [(int(f), m) for f, m, k in zip(fp.view(np.int64), member, shard) if k == s]
+        want |= {(a, b) for a, m in own for b, n in own if n and a != b and bin((a ^ b) & (2**64 - 1)).count("1") <= 2}
+    assert roots(links) == roots(want)
+
+
+def roots(links):
+    group = {x: x for link in links for x in link}
+
+    def root(x):
+        while group[x] != x:
+            x = group[x]
+        return x
+
+    for a, b in links:
+        a, b = root(a), root(b)
+        group[max(a, b)] = min(a, b)
+    return {x: root(x) for x in group}
+
+
+def test_forest_equals_brute_force():
+    rng = np.random.default_rng(3)
+    prints = np.unique(rng.integers(0, 2**12, 500, dtype=np.uint64) << np.uint64(20))
+    tree = np.sort(rng.integers(0, 3, len(prints)))
+    tree = np.unique(tree, return_inverse=True)[1]
+    forest = bktree.Forest(tree, prints)
+    for radius in (0, 2, 5):
+        got = {(int(q), int(n)) for of, node in forest.search(tree, prints, radius) for q, n in zip(of, node)}
+        apart = np.bitwise_count(prints[:, None] ^ prints[None, :])
+        want = set(zip(*map(np.ndarray.tolist, np.nonzero((apart <= radius) & (tree[:, None] == tree[None, :])))))
+        assert got == want
+
+
+def test_components_of_paths_and_stars(spark):
+    links = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 130)] + [(7, 7), (500, 499)]
+    got = {tuple(r) for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
+    assert got == {(i, 0) for i in range(1, 41)} | {(x, 100) for x in range(101, 130)} | {(500, 499)}
+
+
+def test_empty_table(spark):
+    assert simhash.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
+    assert simhash.one_of_each(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_one_of_each_keeps_the_smallest(spark):
+    rows = some_rows()
+    frame = spark.createDataFrame(rows, SCHEMA).withColumn("_text2", F.lit(1)).withColumn("fp", F.lit("x"))
+    got = simhash.one_of_each(frame)
+    assert got.columns == frame.columns
+    kept = [(r.doc_id, r.text) for r in got.collect()]
+    groups = {c for _, _, c in plain_groups(rows)}
+    assert {d for d, _ in kept if d is not None} == {c for c in groups if c is not None}
+    assert [t for d, t in kept if d is None] == ["all alone here now"]
+    # Of two texts under one id, in different groups, both stay; of repeated rows, one does.
+    twice = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (1, "q r s t u v"), (2, None), (2, "")], SCHEMA)
+    assert sorted((tuple(r) for r in simhash.one_of_each(twice).collect()), key=repr)[:2] == [(1, "a b c d"), (1, "q r s t u v")]
+    assert simhash.one_of_each(twice).count() == 3
