@@ -1,0 +1,67 @@
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from rentrank.llm import order, sharding
+
+SCHEMA = "doc_id long, text string"
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 16, 17, 99, 1000, 1023])
+def test_permutation_is_one(spark, n):
+    frame = spark.range(n)
+    got = [r[0] for r in frame.select(sharding.permuted(F.col("id"), n, 7)).collect()]
+    assert sorted(got) == list(range(n))
+    if n > 50:
+        assert sum(g == i for i, g in enumerate(got)) < n / 4
+
+
+def rows_of(spark, frame):
+    return sorted((tuple(r) for r in sharding.sharded(frame).collect()), key=repr)
+
+
+def check(got, rows):
+    assert sorted((r[:3] for r in got), key=repr) == sorted(
+        ((d, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t in rows), key=repr
+    )
+    per = {}
+    for r in got:
+        per.setdefault(r[4], []).append(r[5])
+    assert all(sorted(s) == list(range(len(s))) for s in per.values())
+    counts = [len(per.get(i, [])) for i in range(8)]
+    assert max(counts) - min(counts) <= 1 and set(per) <= set(range(8))
+    assert all(r[3] == "rows" and r[6] is None for r in got)
+
+
+def test_shards_hold_the_law_and_do_not_depend_on_layout(spark):
+    rows = [(i * 3, f"tëxt {i % 40}") for i in range(300)] + [(5, f"t{i}") for i in range(200)]
+    rows += [(None, f"n{i}") for i in range(150)] + [(None, None), (None, ""), (9, "x"), (9, "x"), (1, "y" * 200_000)]
+    frame = spark.createDataFrame(rows, SCHEMA).withColumn("size", F.lit("clash")).withColumn("slot", F.lit(1))
+    got = rows_of(spark, frame)
+    check(got, rows)
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        assert rows_of(spark, frame.repartition(5, "text")) == got
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_numbers_follow_the_order(spark):
+    rows = [(i % 50, i * 7919 % 1000) for i in range(600)] + [(None, i) for i in range(20)]
+    frame = spark.createDataFrame(rows, "k long, h long")
+    got = [(r.k, r.h) for r in sharding.numbered(frame, "k", "h").orderBy("row_number").collect()]
+    assert got == sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+
+
+def test_binary_search(spark):
+    limits = [1, 3, 3, 3, 8]
+    frame = spark.range(-1, 11)
+    array = F.array(*[F.lit(x).cast("long") for x in limits])
+    for strict in (True, False):
+        got = [r[0] for r in frame.select(order._at_most(array, 5, F.col("id"), strict)).collect()]
+        assert got == [sum(x < v if strict else x <= v for x in limits) for v in range(-1, 11)]
+
+
+def test_empty_table(spark):
+    assert sharding.sharded(spark.createDataFrame([], SCHEMA)).collect() == []
