@@ -1,0 +1,100 @@
+import hashlib
+import random
+import re
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from check import TABLES, differences
+from rentrank.llm import decontamination as dec
+
+SF_DIR = "/root/testdata/sf0.001"
+DOCS, ITEMS = "doc_id long, text string", "item_id long, text string"
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def words(text):
+    return WORD.findall((text or "").translate({i: i + 32 for i in range(65, 91)}))
+
+
+def plain(docs, items):
+    out = []
+    for d, text in docs:
+        own, hit, names = words(text), set(), set()
+        for name, item in items:
+            w = words(item)
+            n = min(10, len(w))
+            for s in range(len(w) - n + 1) if n else ():
+                for at in range(len(own) - n + 1):
+                    if own[at : at + n] == w[s : s + n]:
+                        hit |= set(range(at, at + n))
+                        if name is not None:
+                            names.add(str(name))
+        listed = ",".join(sorted(names))
+        out.append((d, len(own), len(hit), len(names), hashlib.sha256(listed.encode()).hexdigest(), bool(hit)))
+    return sorted(out, key=repr)
+
+
+def some_tables():
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(25)] + ["Ünder", "straße", "x1"]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([1, 2, 3, 9, 10, 11, 30])))) for i in range(20)]
+    items = [(i, t) for i, t in items if len(t.split()) != 1] + [(90, "single"), (91, None), (92, " .,"), (None, "no id words here")]
+    items += [(93, items[0][1]), (94, "a a a a a a a a a a a a"), (12, "eleven b c d e f g h i j k l m"), (95, "W1-W2. w3")]
+    docs = []
+    for i in range(60):
+        parts = [" ".join(rng.choices(vocabulary, k=rng.randint(0, 30)))]
+        for _ in range(rng.randint(0, 2)):
+            text = rng.choice(items)[1] or ""
+            cut = text.split()
+            a = rng.randint(0, max(0, len(cut) - 5))
+            parts += [rng.choice([text, " ".join(cut[a:]), text.upper().replace("Ü", "ü"), text.replace(" ", " - ")]), "zz"]
+        docs.append((i, "; ".join(parts)))
+    docs += [(100, None), (101, ""), (102, " ,."), (103, "a " * 3000), (5, docs[5][1]), (5, docs[5][1]), (5, docs[6][1]), (None, docs[7][1]), (104, "SINGLE")]
+    return docs, items
+
+
+def test_equals_brute_force(spark):
+    docs, items = some_tables()
+    frame = spark.createDataFrame(docs, DOCS).withColumn("_id", F.lit("clash")).withColumn("_text", F.lit(1))
+    got = dec.contaminated(frame, spark.createDataFrame(items, ITEMS).withColumn("_item", F.lit(2)))
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == plain(docs, items)
+
+
+def test_clean_documents_stay(spark):
+    docs, items = some_tables()
+    frame = spark.createDataFrame(docs, DOCS).withColumn("_id", F.lit("clash"))
+    got = dec.without_contaminated(frame, spark.createDataFrame(items, ITEMS))
+    assert got.columns == frame.columns
+    want = sorted((r[0] for r in plain(docs, items) if not r[5]), key=repr)
+    assert sorted((r.doc_id for r in got.collect()), key=repr) == want
+
+
+def test_proximity(spark):
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    docs = [
+        (1, item), (2, item.replace("six", "six and")), (3, "nine two three one"), (4, "two one three four six five seven eight nine ten"),
+        (5, " ".join(reversed(item.split()))), (6, "x " * 9 + item.replace("four five", "five four")),
+    ]
+    frame, bench = spark.createDataFrame(docs, DOCS), spark.createDataFrame([(1, item)], ITEMS)
+    items, index = dec.indexed(frame, bench)
+    near = {r[0] for r in dec.near_matches(items, index, slop=2).select("_id").collect()}
+    exact = {r[0] for r in dec.exact_matches(items, index).select("_id").collect()}
+    assert exact == {1} and near == {1, 2, 4, 6}
+
+
+@pytest.mark.parametrize("docs, items", [([], [(1, "a b")]), ([(1, "a b")], []), ([], [])])
+def test_empty_tables(spark, docs, items):
+    got = dec.contaminated(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()
+    assert [tuple(r)[:4] for r in got] == [(d, 2, 0, 0) for d, _ in docs]
+
+
+def test_query_equals_sql(spark):
+    db = duckdb.connect()
+    for name in TABLES:
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
+    got = dec.op6_benchmark_decontamination(spark, SF_DIR)
+    plan = got._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    assert differences(got.toPandas(), db.sql(dec.ORACLE).df()) is None
