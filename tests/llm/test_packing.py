@@ -1,0 +1,100 @@
+import itertools
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from rentrank.llm import packing
+
+SCHEMA = "doc_id long, text string"
+
+
+@pytest.fixture(scope="module")
+def path():
+    return packing.tokenizer_path()
+
+
+def real_ids(path, text):
+    return [*Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids, 2]
+
+
+def check(got, docs, path):
+    by_doc, by_sequence = {}, {}
+    for r in got:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for d, text in docs:
+        ids, pieces = real_ids(path, text), sorted(by_doc.pop(d), key=lambda r: r.start)
+        at = 0
+        for p in pieces:
+            assert (p.start, p.doc_tokens) == (at, len(ids))
+            assert p.ids_crc32 == zlib.crc32(np.array(ids[at : at + p.length], "<u4").tobytes())
+            at += p.length
+        assert at == len(ids)
+    assert not by_doc
+    odd = 0
+    for spans in by_sequence.values():
+        spans.sort()
+        assert [o for o, _ in spans] == list(itertools.accumulate([0] + [k for _, k in spans]))[:-1]
+        length = sum(k for _, k in spans)
+        assert length <= 4096 and length & (length - 1) == 0
+        odd += length < 4096
+    assert odd <= 12 and sorted(by_sequence) == list(range(len(by_sequence)))
+
+
+def test_round_trip(spark, path):
+    rng = np.random.default_rng(0)
+    words = ["alpha", "Bêta", "it's", "x1y22", "<|endoftext|>", "ﬁne", "日本", "éa", "a b", "\x1cq\x85r", "--", "ʼn"]
+    docs = [(i, " ".join(rng.choice(words, rng.integers(0, 1500)))) for i in range(150)]
+    docs += [(900, None), (901, ""), (902, " \n"), (903, "long word " * 20_000), (904, "z" * 3000), (905, "a b　c ́d")]
+    frame = spark.createDataFrame(docs, SCHEMA).repartition(6).withColumn("n", F.lit("clash")).withColumn("rank", F.lit(0))
+    check(packing.packed(frame, path).collect(), docs, path)
+
+
+def test_few_and_none(spark, path):
+    docs = [(None, "one"), (2, None)]
+    check(packing.packed(spark.createDataFrame(docs, SCHEMA), path).collect(), docs, path)
+    assert packing.packed(spark.createDataFrame([], SCHEMA), path).collect() == []
+
+
+def test_repeated_rows_are_packed_as_often(spark, path):
+    frame = spark.createDataFrame([(1, "a b c")] * 5, SCHEMA)
+    got = packing.packed(frame, path).collect()
+    assert sum(r.length for r in got) == 20
+
+
+def test_remembering_less_changes_nothing(path, monkeypatch):
+    texts = [" ".join(f"word{i}{j}" for i in range(30)) for j in range(20)]
+    whole = [packing.WordIds(path)(t, 2) for t in texts]
+    monkeypatch.setattr(packing, "REMEMBERED", 40)
+    few = packing.WordIds(path)
+    assert [few(t, 2) for t in texts] == whole
+
+
+def test_combinations():
+    assert packing.combinations(6, 3) == [(1, 5), (2, 4), (3, 3), (1, 1, 4), (1, 2, 3), (2, 2, 2)]
+    found = packing.combinations(32, 4)
+    assert all(sum(c) == 32 and 2 <= len(c) <= 4 for c in found) and len(found) == len(set(found))
+
+
+def test_least_squares():
+    rng = np.random.default_rng(5)
+    for _ in range(30):
+        a = rng.integers(0, 3, (6, 9)).astype(float)
+        b = rng.normal(size=6)
+        x = packing.nnls(a, b)
+        slope = a.T @ (b - a @ x)
+        assert (x >= 0).all() and slope.max() < 1e-6 and abs(slope[x > 0]).max(initial=0) < 1e-6
+
+
+def test_plan_uses_the_histogram_up():
+    rng = np.random.default_rng(1)
+    for counts in (rng.integers(0, 500, 32), np.r_[np.zeros(5, int), 1000, np.zeros(26, int)], np.zeros(32, int)):
+        counts = counts.astype(np.int64)
+        plan = packing.solved(counts, 3, 77)
+        assert (plan.taken[1:] <= counts[1:]).all()
+        ids = sum(int(c) * g * 128 for g, c in enumerate(counts))
+        assert (plan.combined - 3) * 4096 + plan.run_length == ids + 77
+    assert plan.run_length == 77
