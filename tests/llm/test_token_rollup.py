@@ -1,0 +1,83 @@
+import duckdb
+import pytest
+
+from check import TABLES, differences
+from rentrank.llm import token_rollup as tr
+
+SF_DIR = "/root/testdata/sf0.001"
+CHANGES = "change string, source string, lang string, tokenizer string, tokens long, old_tokens long"
+
+
+def totals(rollup):
+    return sorted((tuple(r) for r in rollup.totals().collect()), key=repr)
+
+
+@pytest.fixture
+def rollup(spark, tmp_path):
+    return tr.Rollup(spark, str(tmp_path / "rollup"))
+
+
+def frame(spark, *rows):
+    return spark.createDataFrame(list(rows), CHANGES)
+
+
+def test_signed_changes_and_repeated_batches(spark, rollup):
+    assert totals(rollup) == []
+    first = frame(
+        spark, ("insert", "a", "en", "v1", 10, None), ("insert", "a", "en", "v1", 5, None), ("insert", None, None, "v1", None, None),
+        ("insert", "b", "en", "v2", 7, None),
+    )
+    assert rollup.commit("one", first)
+    assert not rollup.commit("one", first)
+    second = frame(spark, ("revise", "a", "en", "v1", 4, 10), ("delete", "b", "en", "v2", 7, None))
+    assert rollup.commit("two", second) and not rollup.commit("two", second)
+    assert totals(rollup) == sorted([("a", "en", "v1", 2, 9), (None, None, "v1", 1, 0)], key=repr)
+
+
+def test_broken_commit_is_not_read_and_can_be_made_again(spark, rollup, tmp_path):
+    rollup.commit("one", frame(spark, ("insert", "a", "en", "v1", 10, None)))
+    rollup.commit("two", frame(spark, ("insert", "a", "en", "v1", 1, None)))
+    (tmp_path / "rollup" / "batch=two" / "_SUCCESS").unlink()
+    assert totals(rollup) == [("a", "en", "v1", 1, 10)]
+    assert rollup.commit("two", frame(spark, ("insert", "a", "en", "v1", 1, None)))
+    assert totals(rollup) == [("a", "en", "v1", 2, 11)]
+
+
+def test_compaction_keeps_totals_and_ids(spark, rollup):
+    one = frame(spark, ("insert", "a", "en", "v1", 10, None))
+    rollup.commit("one", one)
+    rollup.commit("two", frame(spark, ("insert", "b", "en", "v1", 2, None)))
+    before = totals(rollup)
+    rollup.compacted("all-1")
+    assert totals(rollup) == before
+    assert not rollup.commit("one", one)
+    rollup.commit("three", frame(spark, ("delete", "b", "en", "v1", 2, None)))
+    rollup.compacted("all-2")
+    rollup.compacted("all-2")
+    assert totals(rollup) == [("a", "en", "v1", 1, 10)]
+    assert not rollup.commit("two", one)
+
+
+def test_empty_batch_and_bad_input(spark, rollup):
+    assert rollup.commit("none", spark.createDataFrame([], CHANGES))
+    assert totals(rollup) == []
+    with pytest.raises(ValueError):
+        rollup.commit("../x", spark.createDataFrame([], CHANGES))
+    with pytest.raises(Exception, match="no such change"):
+        rollup.commit("bad", frame(spark, ("upsert", "a", "en", "v1", 10, None)))
+    assert totals(rollup) == []
+
+
+def test_token_counts(spark):
+    texts = [None, "", " ", "a", " a  b ", "a-b", "é,ß9", "\x1ca"]
+    data = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    got = [tuple(r) for r in data.select("i", *[tr.token_count(data.text, s) for s in tr.TOKENIZERS.values()]).orderBy("i").collect()]
+    assert [g[1:] for g in got] == [(0, 0), (0, 0), (0, 0), (1, 1), (2, 2), (1, 2), (1, 2), (1, 1)]
+
+
+def test_query_equals_sql(spark):
+    db = duckdb.connect()
+    for name in TABLES:
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
+    got = tr.op7_token_rollup(spark, SF_DIR).toPandas()
+    assert differences(got, db.sql(tr.ORACLE).df()) is None
