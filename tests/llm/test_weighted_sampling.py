@@ -1,0 +1,106 @@
+import hashlib
+import math
+import random
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from rentrank.llm import weighted_sampling as cws
+
+SCHEMA = "doc_id long, text string"
+
+
+def jaccard(a, b):
+    x, y = Counter(a.split()), Counter(b.split())
+    return sum((x & y).values()) / sum((x | y).values()) if x or y else 1.0
+
+
+def edited(rows):
+    """(doc_id, text) in descending order to what the contract makes of each."""
+    out = {}
+    for i, (d, t) in enumerate(rows):
+        cut = len(t) // 3
+        out[d] = t[: len(t) - cut] + rows[(i + 1) % len(rows)][1][:cut]
+    return out
+
+
+def some_texts():
+    rng = random.Random(4)
+    words = [f"wörd{i}" for i in range(60)]
+    rows = [(i * 2, " ".join(rng.choices(words, k=rng.randint(1, 80)))) for i in range(120)]
+    return rows + [(501, ""), (502, "   "), (503, "a"), (504, "lang " * 20_000), (505, rows[3][1]), (506, "\tab\n")]
+
+
+def test_edits_and_neighbours(spark):
+    rows = some_texts()
+    down = sorted(rows, reverse=True)
+    frame = spark.createDataFrame(rows, SCHEMA).withColumn("_bucket", F.lit("x")).withColumn("samples", F.lit(0))
+    got = {r.doc_id: r for r in cws.fingerprinted(frame).collect()}
+    assert len(got) == len(rows)
+    texts, new = dict(rows), edited(down)
+    prints = {d: got[d].fingerprint for d in texts}
+    for i, (d, t) in enumerate(down):
+        assert got[d].n_chars == len(t)
+        assert got[d].edited_sha256 == hashlib.sha256(new[d].encode()).hexdigest()
+        after = prints[down[(i + 1) % len(down)][0]]
+        assert got[d].near_next == alike(prints[d], after)
+        assert got[d].near_edited == alike(prints[d], got[d].edited_fingerprint)
+    assert got[505].fingerprint == got[6].fingerprint and got[501].fingerprint == got[502].fingerprint == ""
+
+
+def alike(a, b):
+    if not a or not b:
+        return float(a == b)
+    return sum(a[i : i + 8] == b[i : i + 8] for i in range(0, len(a), 8)) / (len(a) // 8)
+
+
+def test_collision_rate_is_generalised_jaccard(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(30)]
+    texts = [" ".join(rng.choices(words, weights=range(1, 31), k=rng.randint(20, 200))) for _ in range(16)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    drawn = {r.k: r.samples for r in cws.samples(frame, ["k"], "text", 256).collect()}
+    off = []
+    for i in drawn:
+        for j in range(i):
+            rate = sum(x == y for x, y in zip(drawn[i], drawn[j])) / 256
+            truth = jaccard(texts[i], texts[j])
+            off.append((rate - truth) / math.sqrt(truth * (1 - truth) / 256 + 1e-9))
+    assert abs(sum(off) / len(off)) < 0.5 and max(map(abs, off)) < 4.5
+
+
+def test_repeated_and_missing_ids(spark):
+    rows = [(7, "a b c d e f"), (7, "a b c d e f"), (7, "q r s"), (None, "n o p"), (None, None), (2, None)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    got = cws.fingerprinted(frame).collect()
+    assert sorted((r.doc_id is None, r.doc_id, r.n_chars) for r in got if r.doc_id) == sorted(
+        (False, d, len(t or "")) for d, t in rows if d
+    )
+    assert len(got) == 6 and sum(r.doc_id is None for r in got) == 2
+    # After the smallest id come the rows without one.
+    assert [r.near_next for r in got if r.doc_id == 2][0] in (0.0, 1.0)
+
+
+def test_hot_id_and_missing_ids_keep_one_order(spark):
+    rng = random.Random(1)
+    rows = [(5, f"t{rng.random()}") for _ in range(80)] + [(None, f"u{rng.random()} v") for _ in range(80)]
+    rows += [(i, f"x{i} y") for i in range(40)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    one = sorted((r.edited_sha256, r.near_next) for r in cws.fingerprinted(frame).collect())
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        assert one == sorted((r.edited_sha256, r.near_next) for r in cws.fingerprinted(frame).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_lone_document_and_empty_table(spark):
+    got = cws.fingerprinted(spark.createDataFrame([(1, "abc def")], SCHEMA)).collect()
+    assert got[0].near_next == 1.0 and got[0].edited_sha256 == hashlib.sha256(b"abc dab").hexdigest()
+    assert cws.fingerprinted(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_no_python_in_the_plan(spark):
+    frame = cws.fingerprinted(spark.createDataFrame([(1, "abc def")], SCHEMA))
+    plan = frame._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
