@@ -78,11 +78,6 @@ def id_from_url(url: Column) -> Column:
     )
 
 
-def slug(text: Column) -> Column:
-    """Lower case, words joined by "_"."""
-    return F.regexp_replace(strip(F.lower(text)), _SPACE_RUN, "_")
-
-
 def join_lines(text: Column) -> Column:
     """Stripped, non-blank lines joined by one blank."""
     lines = F.transform(F.split(text, _LINE_BREAK), strip)
@@ -103,15 +98,27 @@ def count_words(text: Column, words: tuple[str, ...]) -> Column:
 def float_text(x: Column) -> Column:
     """A DOUBLE the way Python prints it.
 
-    Spark switches to exponents below 1e-3, Python below 1e-4 and with another notation; a
-    longitude near the meridian meets both.
+    Spark switches to exponents below 1e-3 and from 1e7, Python below 1e-4 and from 1e16, and with
+    another notation; a longitude near the meridian meets the former, a score that is not clamped
+    the latter.
     """
     spark_text = x.cast("string")
     tidy = F.regexp_replace(spark_text, r"(\.0)?E-(\d)$", "e-0$2")
     digits = F.regexp_replace(F.regexp_replace(spark_text, r"(\.0)?E-4$", ""), r"[-.]", "")
     small = F.concat(F.when(x < 0, "-").otherwise(""), F.lit("0.000"), digits)
+    power = F.regexp_extract(spark_text, r"E(\d+)$", 1).try_cast("int")
+    mantissa = F.regexp_extract(spark_text, r"^-?(\d\.\d+)E", 1)
+    sign = F.when(x < 0, "-").otherwise("")
+    # The digits behind the point move before it; what is missing of them is zeros.
+    figures = F.regexp_replace(F.regexp_replace(mantissa, r"\.0$", ""), r"\.", "")
+    whole = F.rpad(F.substring(figures, 1, power + 1), power + 1, "0")
+    rest = figures.substr(power + 2, F.length(figures))
+    large = F.concat(sign, whole, F.lit("."), F.when(rest != "", rest).otherwise("0"))
+    huge = F.concat(sign, F.regexp_replace(mantissa, r"\.0$", ""), F.lit("e+"), power.cast("string"))
     return (
         F.when(spark_text.endswith("E-4"), small)
         .when(spark_text.contains("E-"), tidy)
+        .when(power >= 16, huge)
+        .when(power.isNotNull(), large)
         .otherwise(spark_text)
     )

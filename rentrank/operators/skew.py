@@ -6,18 +6,18 @@ stage), which is the usual shape here, so hot keys are cut into slices explicitl
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLICE = "_slice"
 
-# Keys above 1 % of the rows are hot; there can be at most 100 of them, whatever the data size.
-HOT_SHARE = 0.01
-HOT_LIMIT = 100
-# Items the frequency sketch tracks: its error (about 0.02 % of the rows) is far below HOT_SHARE.
-TRACKED = 10_000
-# Below this many rows a key does not hurt a task.
-HOT_MIN_ROWS = 50_000
+# A key is hot if it fills more than this many average shuffle partitions, so there can be at
+# most partitions / HOT_FILL such keys, whatever the data size.
+HOT_FILL = 2
+# Items the frequency sketch tracks per shuffle partition, which keeps its error far below one
+# partition's share; and the most it can track at all.
+TRACKED_PER_PARTITION = 50
+TRACKED_MOST = 1_000_000
 
 
 def _shuffle_partitions(frame: DataFrame) -> int:
@@ -25,63 +25,62 @@ def _shuffle_partitions(frame: DataFrame) -> int:
     return int(text) if text.isdigit() else 200
 
 
-def hot_keys(frame: DataFrame, key: str, min_rows: int = HOT_MIN_ROWS) -> DataFrame:
-    """(key, _slices) for the keys that hold more than 1 % of the rows: at most 100 rows.
+def hot_keys(frame: DataFrame, key: str, partitions: int | None = None) -> dict:
+    """The hot keys and how many slices each is cut into: the average partitions it would fill.
 
     A mergeable frequency sketch does it in one pass and shuffles one sketch per task, not the
-    keys. ``_slices`` is how many average-sized shuffle partitions the key would fill.
+    keys. At most ``partitions / HOT_FILL`` keys come back, so they fit the driver, and both sides
+    of a join see the same ones. NULL is a key here.
     """
-    sketch = frame.agg(
-        F.expr(f"approx_top_k(`{key}`, {HOT_LIMIT}, {TRACKED})").alias("top"),
+    n = partitions or _shuffle_partitions(frame)
+    wanted = max(1, n // HOT_FILL)
+    tracked = min(TRACKED_MOST, max(10_000, n * TRACKED_PER_PARTITION, wanted))
+    found = frame.agg(
+        F.expr(f"approx_top_k(`{key}`, {min(wanted, tracked)}, {tracked})").alias("top"),
         F.count(F.lit(1)).alias("total"),
-    )
-    ranked = sketch.select(F.inline("top"), "total")
-    share = F.col("count") / F.col("total")
-    hot = F.col("item").isNotNull() & (F.col("count") >= min_rows) & (share >= HOT_SHARE)
-    slices = F.ceil(share * _shuffle_partitions(frame)).cast("int") + 1
-    return ranked.filter(hot).select(F.col("item").alias(key), slices.alias("_slices"))
-
-
-def spread_hot_keys(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    measure: DataFrame | None = None,
-    min_rows: int = HOT_MIN_ROWS,
-) -> tuple[DataFrame, DataFrame]:
+        F.count_if(F.col(key).isNull()).alias("nulls"),
+    ).first()
+    average = found["total"] / n
+    counts = {r["item"]: r["count"] for r in found["top"] or [] if r["item"] is not None}
+    counts[None] = found["nulls"]
+    return {k: -int(-c // average) for k, c in counts.items() if average and c >= HOT_FILL * average}
+
+
+def _slices(key: Column, hot: dict, kind: str) -> Column:
+    """The number of slices of a row's key: a look-up in a literal map, 1 if it is not hot."""
+    named = {k: n for k, n in hot.items() if k is not None}
+    none = F.lit(hot.get(None, 1))
+    if not named:
+        return F.when(key.isNull(), none).otherwise(F.lit(1))
+    entries = [F.lit(x) for k, n in named.items() for x in (k, n)]
+    table = F.create_map(*entries).cast(f"map<{kind},int>")
+    return F.when(key.isNull(), none).otherwise(F.coalesce(F.try_element_at(table, key), F.lit(1)))
+
+
+def spread_hot_keys(left: DataFrame, right: DataFrame, key: str, hot: dict) -> tuple[DataFrame, DataFrame]:
     """Both sides with a slice column, to be joined on ``[key, SLICE]``.
 
     Rows of a hot key go to the slice of the task they are in (stable when a task is re-run, and
-    spread even if the rows are exact copies); rows with a NULL key, which match nothing, are
-    spread as well. ``right`` must be unique on ``key``: its row for a hot key is repeated once
-    per slice. Keys are counted on ``measure`` if ``left`` is costly to compute twice.
+    spread even if the rows are exact copies). ``right`` must be unique on ``key``: its row for a
+    hot key is repeated once per slice.
     """
-    hot = F.broadcast(hot_keys(left if measure is None else measure, key, min_rows))
-    task = F.spark_partition_id()
-    null_slices = F.lit(_shuffle_partitions(left))
-    left_slice = (
-        F.when(F.col(key).isNull(), F.pmod(task, null_slices))
-        .when(F.col("_slices").isNotNull(), F.pmod(task, F.col("_slices")))
-        .otherwise(F.lit(0))
-    )
-    last = F.coalesce(F.col("_slices"), F.lit(1)) - 1
-    left = left.join(hot, key, "left").withColumn(SLICE, left_slice).drop("_slices")
-    right = (
-        right.join(hot, key, "left")
-        .withColumn(SLICE, F.explode(F.sequence(F.lit(0), last)))
-        .drop("_slices")
-    )
+    kind = left.schema[key].dataType.simpleString()
+    many = _slices(F.col(key), hot, kind)
+    left = left.withColumn(SLICE, F.pmod(F.spark_partition_id(), many))
+    right = right.withColumn(SLICE, F.explode(F.sequence(F.lit(0), many - 1)))
     return left, right
 
 
 def lookup_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    how: str,
-    measure: DataFrame | None = None,
-    min_rows: int = HOT_MIN_ROWS,
+    left: DataFrame, right: DataFrame, key: str, how: str, measure: DataFrame | None = None
 ) -> DataFrame:
-    """Join ``left`` to ``right`` (unique on ``key``) with the hot keys of ``left`` in slices."""
-    left, right = spread_hot_keys(left, right, key, measure, min_rows)
+    """Join ``left`` to ``right`` (unique on ``key``) with the hot keys of ``left`` in slices.
+
+    Keys are counted on ``measure`` if ``left`` is costly to compute twice. Without a hot key
+    this is the plain join.
+    """
+    hot = hot_keys(left if measure is None else measure, key)
+    if not hot:
+        return left.join(right, key, how)
+    left, right = spread_hot_keys(left, right, key, hot)
     return left.join(right, [key, SLICE], how).drop(SLICE)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# --- Fixed values: field names, their types and their order are the interface. ---
+
 ROOM_SCHEMA = T.StructType(
     [
         T.StructField("status", T.StringType()),
@@ -51,6 +53,16 @@ ROOM_DEFAULTS = {
     "preferable_poster_type": False,
 }
 
+EXPORT_COLS = [
+    "status", "id", "url", "poster_type", "date_added", "type", "area", "score",
+    "collective_word_count", "average_price", "average_deposit", "location_1", "location_2",
+    "direct_line_to_office", "location", "nearest_station", "available", "minimum_term",
+    "maximum_term", "bills_included", "broadband_included", "furnishings", "garden_or_patio",
+    "living_room", "balcony_or_roof_terrace", "number_of_flatmates", "total_number_of_rooms",
+]
+
+# --- End of fixed values. ---
+
 # Page text that did not fit the typed column, kept beside it, and typed helpers.
 ROOM_EXTRAS = T.StructType(
     [
@@ -70,13 +82,10 @@ ROOM_EXTRAS = T.StructType(
 
 LISTINGS_SCHEMA = T.StructType(ROOM_SCHEMA.fields + ROOM_EXTRAS.fields)
 
-EXPORT_COLS = [
-    "status", "id", "url", "poster_type", "date_added", "type", "area", "score",
-    "collective_word_count", "average_price", "average_deposit", "location_1", "location_2",
-    "direct_line_to_office", "location", "nearest_station", "available", "minimum_term",
-    "maximum_term", "bills_included", "broadband_included", "furnishings", "garden_or_patio",
-    "living_room", "balcony_or_roof_terrace", "number_of_flatmates", "total_number_of_rooms",
-]
+# What a run did not take: a url without an id, or a room that breaks a rule.
+REJECT_SCHEMA = T.StructType(
+    [T.StructField(name, T.StringType()) for name in ("url", "id", "reason")]
+)
 
 CURATION_SCHEMA = T.StructType(
     [T.StructField("list_name", T.StringType()), T.StructField("id", T.StringType())]

@@ -32,10 +32,13 @@ def build_session(app_name: str = "rentrank", master: str | None = None, **conf:
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh directory in the shared folder that the cluster names for checkpoints.
 
-    Only where the session names none (a local test) is a machine-local folder used.
+    Only a local session that names none (a test) gets a machine-local folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="rentrank-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -105,18 +105,22 @@ class JobConfig:
     check_expired: bool = False
     update_only: bool = False
     commute_enabled: bool = True
+    dedupe_by_id: bool = False
     anchors: tuple[int, ...] = (1, 2)
     weights: dict = field(default_factory=lambda: dict(SCORE_WEIGHTS))
     status_keywords: dict = field(default_factory=lambda: dict(STATUS_KEYWORDS))
     show_favourites: bool = True
     show_new_listings: bool = True
     min_marker_score: float = 15
+    keep_versions: int | None = None  # of each rewritten table; None keeps all
 
     def __post_init__(self) -> None:
         if self.number_of_pages < 0:
             raise ValueError("number_of_pages must not be negative")
         if self.min_rent > self.max_rent:
             raise ValueError("min_rent must not exceed max_rent")
+        if self.keep_versions is not None and self.keep_versions < 1:
+            raise ValueError("keep_versions must be at least 1")
 
     @property
     def pages_to_read(self) -> int:

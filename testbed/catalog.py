@@ -14,7 +14,8 @@ from rentrank.operators import curate, enrich, export, extract, ingest, live, ma
 from rentrank.operators import normalise, score, search, validate
 from rentrank.plans import daily
 from rentrank.plans.daily import RunPaths
-from rentrank.plans.rooms import score_rooms
+from rentrank.plans.pages import current_flags, latest_pages, with_absolute_urls
+from rentrank.plans.rooms import new_rooms, score_rooms
 from rentrank.schema import EXPORT_COLS
 from rentrank.session import work_dir
 from rentrank.settings import JobConfig
@@ -109,7 +110,8 @@ def distinct_urls(spark, sf_dir):
 
 
 def collect_urls(spark, sf_dir):
-    return ingest.distinct_urls(extract.result_urls(D.result_pages(spark, sf_dir)))
+    found = extract.result_urls(D.result_pages(spark, sf_dir))
+    return ingest.distinct_urls(found, ("page_no", "pos"))
 
 
 def direct_line(spark, sf_dir):
@@ -198,15 +200,13 @@ def map_markers(spark, sf_dir):
 
 
 def run_metrics(spark, sf_dir):
+    """Counts over listings, snapshots and ids, each table in one pass."""
     listings = D.listing_columns(D.orders_table(spark, sf_dir)).select("id", "url")
     flags = live.latest_page_flags(D.page_snapshots(spark, sf_dir))
-    active = flags.filter(~F.col("expired") & F.col("contactable"))
-    return metrics.run_metrics(
-        listings=listings,
-        active=active,
-        gone=live.gone_listings(listings, D.page_snapshots(spark, sf_dir)),
-        new=new_urls(spark, sf_dir),
-    )
+    up = ~F.col("expired") & F.col("contactable")
+    marked = listings.join(flags, "url", "left").withColumn("up", F.coalesce(up, F.lit(False)))
+    counts = metrics.counted(marked, listings=F.lit(True), active=F.col("up"), gone=~F.col("up"))
+    return counts.unionByName(metrics.run_metrics(new=new_urls(spark, sf_dir)))
 
 
 def append_listings(spark, sf_dir):
@@ -241,14 +241,37 @@ def incremental_ingest(spark, sf_dir):
     pages = D.render_pages(D.listings_raw(spark, sf_dir))
     pages.write.parquet(landing)
     tables.append_to_curation(D.curation(spark, sf_dir), lists)
-    stream = tables.stream_parquet(spark, landing, pages.schema)
+    half = -(-D.tasks(spark) // 2)  # rendering writes a file per task
+    stream = tables.stream_parquet(spark, landing, pages.schema, files_per_batch=half)
     responses = D.commute_responses(spark, sf_dir)
     streaming.incremental_ingest(
-        stream, listings, lists, f"{base}/checkpoint", CONFIG, responses
+        stream, listings, lists, f"{base}/checkpoint", CONFIG, responses, f"{base}/rejects", 2
     ).awaitTermination()
     return tables.load_listings(spark, listings).select("id", "url", "score")
 
 
+def ingest_duplicates(spark, sf_dir):
+    """Pages that landed twice, share page ids across urls, have none, or are older copies."""
+    pages = D.repeated_pages(D.render_pages(D.listings_raw(spark, sf_dir)))
+    ignored = D.curation(spark, sf_dir).filter(F.col("list_name") == "ignored")
+    responses = D.commute_responses(spark, sf_dir)
+    found = new_rooms(pages, D.known_ids(spark, sf_dir), ignored, responses, CONFIG)
+    return found.select("id", "url", "score")
+
+
+def rejected_urls(spark, sf_dir):
+    """Urls that give no id, of all crawled pages."""
+    return daily.rejected_urls(latest_pages(D.table(spark, sf_dir, "pages")))
+
+
+def expire_from_pages(spark, sf_dir):
+    """Listings whose latest snapshot, read off its HTML, is still up; snapshots have crawl urls."""
+    listings = D.listing_columns(D.orders_table(spark, sf_dir)).select("id", "url")
+    listings = with_absolute_urls(listings, CONFIG.domain)
+    snapshots = with_absolute_urls(D.snapshot_pages(spark, sf_dir), CONFIG.domain)
+    return live.live_listings(listings, current_flags(snapshots, listings))
+
+
 def status_stream(spark, sf_dir):
     base = work_dir(spark, "statuses")
     tables.append_to_curation(D.curation(spark, sf_dir), f"{base}/curation")
@@ -260,25 +283,58 @@ def status_stream(spark, sf_dir):
     return tables.load_curation(spark, f"{base}/curation")
 
 
-def daily_run(spark, sf_dir):
-    """Two full runs over written tables: the first adds rooms, the second applies the statuses."""
+def daily_inputs(spark, sf_dir) -> RunPaths:
+    """The tables that a run reads, written from the derived ones."""
     base = work_dir(spark, "daily")
-    names = ("listings", "curation", "export", "markers", "pages", "results")
-    paths = RunPaths(*[f"{base}/{n}" for n in names], commute_responses=f"{base}/commutes")
+    names = ("listings", "curation", "export", "markers", "pages", "results", "snapshots", "commutes", "rejects")
+    paths = RunPaths(*[f"{base}/{n}" for n in names])
     D.render_pages(D.listings_raw(spark, sf_dir)).write.parquet(paths.listing_pages)
     D.result_pages(spark, sf_dir).write.parquet(paths.result_pages)
+    D.snapshot_pages(spark, sf_dir).write.parquet(paths.snapshots)
     D.commute_responses(spark, sf_dir).write.parquet(paths.commute_responses)
     tables.append_to_curation(D.curation(spark, sf_dir), paths.curation)
     updates = D.status_updates(D.table(spark, sf_dir, "events"))
     blank = F.lit(None).cast("string")
     edited = [F.col(c) if c in updates.columns else blank.alias(c) for c in EXPORT_COLS]
     tables.write_export(updates.select(*edited), paths.export)
+    return paths
+
+
+def two_runs(spark, paths: RunPaths) -> tuple[DataFrame, DataFrame]:
+    """The counts of a first run, which adds rooms, and of a second, which drops expired ones."""
     every_page = replace(CONFIG, number_of_pages=2**62)
-    daily.daily_run(spark, paths, every_page)
-    daily.daily_run(spark, paths, replace(every_page, update_only=True))
+    first = daily.daily_run(spark, paths, every_page)
+    later = replace(every_page, update_only=True, check_expired=True, keep_versions=2)
+    return first, daily.daily_run(spark, paths, later)
+
+
+def daily_run(spark, sf_dir):
+    """Two full runs over written tables; the last read is the listings table."""
+    paths = daily_inputs(spark, sf_dir)
+    two_runs(spark, paths)
     return tables.load_listings(spark, paths.listings).select("id", "url", "status", "score")
 
 
+def run_counts(spark, sf_dir):
+    """What the two runs report."""
+    first, second = two_runs(spark, daily_inputs(spark, sf_dir))
+    return first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2)))
+
+
+def marker_features(spark, sf_dir):
+    """The GeoJSON lines of the markers, read back."""
+    kind = (
+        "type string, geometry struct<type:string,coordinates:array<double>>, "
+        "properties struct<layer:string,id:string,popup:string>"
+    )
+    lines = markers.geojson_features(map_markers(spark, sf_dir))
+    return lines.select(F.from_json("value", kind).alias("f")).select(
+        F.col("f.type").alias("type"), F.col("f.geometry.type").alias("geometry"),
+        F.get("f.geometry.coordinates", F.lit(0)).alias("longitude"),
+        F.get("f.geometry.coordinates", F.lit(1)).alias("latitude"), "f.properties.*",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "average_price": average_price,
     "room_sizes": room_sizes,
@@ -314,6 +370,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feature_rows": feature_rows,
     "extract_links": extract_links,
     "incremental_ingest": incremental_ingest,
+    "ingest_duplicates": ingest_duplicates,
+    "rejected_urls": rejected_urls,
+    "expire_from_pages": expire_from_pages,
     "status_stream": status_stream,
     "daily_run": daily_run,
+    "run_counts": run_counts,
+    "marker_features": marker_features,
 }

@@ -38,10 +38,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def orders_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``orders``, spread over the cores if its files are fewer (as in a small test table)."""
-    orders = table(spark, sf_dir, "orders")
-    cores = spark.sparkContext.defaultParallelism
-    return orders.repartition(cores) if orders.rdd.getNumPartitions() < cores else orders
+    """``orders``, dealt out evenly: its rows are narrow, what is made of them is not."""
+    return table(spark, sf_dir, "orders").repartition(tasks(spark))
 
 
 def tasks(spark: SparkSession) -> int:
@@ -74,7 +72,8 @@ def listing_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     flags = F.array(*[F.lit(flag) for flag in "ANR"])
     day = F.unix_date(F.col("l_shipdate").cast("date")).cast("bigint")
     flag = F.array_position(flags, F.col("l_returnflag"))
-    place = day * 2**24 + F.col("l_linenumber") * 4 + flag
+    # Day, line number (any INT) and flag side by side: the last two take less than 34 bits.
+    place = day * 2**34 + F.col("l_linenumber").cast("bigint") * 4 + flag
     rows = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"),
         F.col("l_quantity").cast("int").alias("quantity"),
@@ -305,12 +304,32 @@ def render_pages(listings: DataFrame) -> DataFrame:
     return listings.select(F.col("id").cast("bigint").alias("page_id"), "url", html.alias("html"))
 
 
+def repeated_pages(pages: DataFrame) -> DataFrame:
+    """Each page twice, page ids shared by many urls or absent, and an older, empty copy of some."""
+    absent = F.col("page_id") % 7 == 0
+    newest = pages.withColumn("page_id", F.when(~absent, F.col("page_id") % 97))
+    older = pages.filter(~absent).select(F.lit(-1).cast("bigint").alias("page_id"), "url", F.lit("").alias("html"))
+    return newest.unionByName(newest).unionByName(older)
+
+
+def snapshot_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``page_snapshots`` as (page_id, url, html, fetched_at), with the flags in the markup."""
+    flags = page_snapshots(spark, sf_dir)
+    contact = F.when(F.col("contactable"), '<ul class="contact_methods"><li>Message</li></ul>')
+    gone = F.when(F.col("expired"), '<section class="a listing-contact--expired">Gone</section>')
+    html = F.concat(
+        F.lit("<html><body><!-- snapshot --><p>Room</p>"), F.coalesce(contact, F.lit("")),
+        F.coalesce(gone, F.lit("")), F.lit("</body></html>"),
+    )
+    return flags.select(F.lit(None).cast("bigint").alias("page_id"), "url", html.alias("html"), "fetched_at")
+
+
 def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page_no, html): per order a page of ten results, some blank, some seen on other pages."""
     okey = F.col("o_orderkey")
 
     def item(j: Column) -> Column:
-        listing = ((okey * 5 + j * 7) % 100000).cast("string")
+        listing = (okey * 5 + j * 7).cast("string")
         url = F.when((okey + j) % 9 == 0, "").otherwise(
             F.concat(F.lit("listing?listing_id="), listing, F.lit("&amp;mode=list"))
         )

@@ -267,6 +267,24 @@ POPUP = """'<b>ID:</b> ' || r.id || '<br><b>Date added:</b> ' || CAST(date_added
 
 FAVOURITE = "lower(s.status) = 'favourite'"
 
+MARKERS = (
+    f"SELECT 'favourites' AS layer, r.id, latitude, longitude, {POPUP} AS popup "
+    f"FROM rooms r JOIN statuses s USING (id) WHERE {FAVOURITE} AND location IS NOT NULL "
+    f"UNION ALL SELECT 'new_listings', r.id, latitude, longitude, {POPUP} "
+    f"FROM rooms r JOIN statuses s USING (id) WHERE score > 15 AND date_added = {NEW_DAY} "
+    f"AND NOT {FAVOURITE} AND location IS NOT NULL"
+)
+
+# Two daily runs: what the result pages name, what is parsed, what is kept, what is still up.
+RUNS = """, wanted AS (
+  SELECT DISTINCT CAST(o_orderkey * 5 + j * 7 AS VARCHAR) AS id
+  FROM orders CROSS JOIN range(10) AS g(j) WHERE (o_orderkey + j) % 9 <> 0),
+fresh AS (
+  SELECT * FROM rooms WHERE id IN (SELECT id FROM wanted)
+    AND id NOT IN (SELECT id FROM merged WHERE list_name = 'ignored')),
+added AS (SELECT * FROM fresh WHERE reason IS NULL),
+live AS (SELECT * FROM added WHERE url IN (SELECT url FROM latest WHERE NOT expired AND contactable))"""
+
 ORACLES: dict[str, str] = {
     "average_price": listing_sql("SELECT b.id, average_price FROM base b LEFT JOIN prices USING (id)"),
     "room_sizes": listing_sql("SELECT b.id, room_sizes FROM base b LEFT JOIN prices USING (id)"),
@@ -299,9 +317,9 @@ ORACLES: dict[str, str] = {
     ),
     "distinct_urls": "SELECT url, min(page_id) AS pos FROM pages GROUP BY url ORDER BY pos, url",
     "collect_urls": """
-        SELECT url, min(pos) AS pos FROM (
-          SELECT o_orderkey * 1048576 + row_number() OVER (PARTITION BY o_orderkey ORDER BY j) - 1 AS pos,
-            'listing?listing_id=' || CAST((o_orderkey * 5 + j * 7) % 100000 AS VARCHAR) || '&mode=list' AS url
+        SELECT url, min(page_no) AS page_no, CAST(arg_min(pos, (page_no, pos)) AS INT) AS pos FROM (
+          SELECT o_orderkey AS page_no, row_number() OVER (PARTITION BY o_orderkey ORDER BY j) - 1 AS pos,
+            'listing?listing_id=' || CAST(o_orderkey * 5 + j * 7 AS VARCHAR) || '&mode=list' AS url
           FROM orders CROSS JOIN range(10) AS r(j) WHERE (o_orderkey + j) % 9 <> 0)
         GROUP BY url""",
     "direct_line": listing_sql("SELECT id, nearest_station, direct_line_to_office FROM joined"),
@@ -341,13 +359,7 @@ ORACLES: dict[str, str] = {
         f"AND image_url <> '' AND contains(poster_type, 'landlord') AND coalesce({TERM}, 0) <= 6 "
         "AND type NOT IN ('Studio flat', 'Whole property to let')"
     ),
-    "map_markers": listing_sql(
-        f"SELECT 'favourites' AS layer, r.id, latitude, longitude, {POPUP} AS popup "
-        f"FROM rooms r JOIN statuses s USING (id) WHERE {FAVOURITE} AND location IS NOT NULL "
-        f"UNION ALL SELECT 'new_listings', r.id, latitude, longitude, {POPUP} "
-        f"FROM rooms r JOIN statuses s USING (id) WHERE score > 15 AND date_added = {NEW_DAY} "
-        f"AND NOT {FAVOURITE} AND location IS NOT NULL"
-    ),
+    "map_markers": listing_sql(MARKERS),
     "run_metrics": listing_sql(
         "SELECT 'listings' AS metric, count(*) AS n FROM base "
         "UNION ALL SELECT 'active', count(*) FROM latest WHERE NOT expired AND contactable "
@@ -377,10 +389,37 @@ ORACLES: dict[str, str] = {
         f"SELECT id, '{D.DOMAIN}/' || url AS url, score FROM rooms WHERE reason IS NULL "
         "AND id NOT IN (SELECT id FROM seeds WHERE list_name = 'ignored')"
     ),
+    "ingest_duplicates": listing_sql(
+        f"SELECT id, '{D.DOMAIN}/' || url AS url, score FROM rooms "
+        "WHERE id NOT IN (SELECT id FROM seeds WHERE list_name = 'ignored') "
+        f"AND id NOT IN (SELECT {ID} FROM orders WHERE o_orderdate < TIMESTAMP '{D.NEW_FROM}')"
+    ),
+    "rejected_urls": """
+        SELECT DISTINCT url, CAST(NULL AS VARCHAR) AS id, 'no id in url' AS reason FROM pages
+        WHERE url IS NOT NULL AND split_part(split_part(url, '=', 2), '&', 1) = ''""",
+    "expire_from_pages": listing_sql(
+        f"SELECT id, '{D.DOMAIN}/' || url AS url FROM base "
+        "WHERE url IN (SELECT url FROM latest WHERE NOT expired AND contactable)"
+    ),
     "daily_run": listing_sql(
-        f"SELECT r.id, '{D.DOMAIN}/' || url AS url, s.status, score FROM rooms r JOIN statuses s USING (id) "
-        "WHERE reason IS NULL AND id IN (SELECT CAST((o_orderkey * 5 + j * 7) % 100000 AS VARCHAR) "
-        "FROM orders CROSS JOIN range(10) AS g(j) WHERE (o_orderkey + j) % 9 <> 0)"
+        f"{RUNS} SELECT l.id, '{D.DOMAIN}/' || url AS url, s.status, score FROM live l JOIN statuses s USING (id)"
+    ),
+    "run_counts": listing_sql(
+        f"{RUNS} SELECT 1 AS run, 'stored' AS metric, 0 AS n UNION ALL SELECT 1, 'active', 0 "
+        "UNION ALL SELECT 1, 'expired', 0 UNION ALL SELECT 1, 'dropped', 0 "
+        "UNION ALL SELECT 1, 'invalid_statuses', count(*) FROM updates WHERE status = 'maybe' "
+        "UNION ALL SELECT 1, 'retrieved', count(*) FROM wanted "
+        "UNION ALL SELECT 1, 'crawled', count(*) FROM base WHERE id IN (SELECT id FROM wanted) "
+        "UNION ALL SELECT 1, 'new', count(*) FROM fresh "
+        "UNION ALL SELECT 1, 'rejected', count(*) FROM fresh WHERE reason IS NOT NULL "
+        "UNION ALL SELECT 1, 'added', count(*) FROM added UNION ALL SELECT 1, 'listings', count(*) FROM added "
+        "UNION ALL SELECT 2, 'stored', count(*) FROM added UNION ALL SELECT 2, 'active', count(*) FROM live "
+        "UNION ALL SELECT 2, 'expired', (SELECT count(*) FROM added) - (SELECT count(*) FROM live) "
+        "UNION ALL SELECT 2, 'dropped', 0 UNION ALL SELECT 2, 'invalid_statuses', 0 "
+        "UNION ALL SELECT 2, 'listings', count(*) FROM live"
+    ),
+    "marker_features": listing_sql(
+        f"SELECT 'Feature' AS type, 'Point' AS geometry, * FROM ({MARKERS})"
     ),
     "status_stream": listing_sql("SELECT list_name, id FROM merged"),
 }
