@@ -37,20 +37,37 @@ def sample(term: Column, log_weight: Column, i: int) -> Column:
     return F.log(c) - r * (F.floor(log_weight / r + beta) - beta + 1)
 
 
+def weighed_terms(texts: DataFrame, key: list[str], text: str) -> DataFrame:
+    """``key``, _term, _weight: a text's distinct words (64-bit hashes) and ln of their counts.
+
+    Words are sorted and their runs measured within the row, so nothing is held beyond one text.
+    A text without words has one row of NULLs.
+    """
+    words = F.array_remove(F.split(F.col(text), SPACE), "")
+    hashed = texts.select(*key, F.sort_array(F.transform(words, lambda w: F.xxhash64(w))).alias("_all"))
+
+    def end_of_run(x: Column, i: Column) -> Column:
+        after = F.get("_all", i + 1)
+        return F.when(after.isNull() | (after != x), i)
+
+    ends = hashed.select(*key, "_all", F.array_compact(F.transform("_all", end_of_run)).alias("_ends"))
+
+    def run(end: Column, j: Column) -> Column:
+        before = F.coalesce(F.get("_ends", j - 1), F.lit(-1))
+        return F.struct(F.get("_all", end).alias("_term"), (end - before).alias("_count"))
+
+    runs = ends.select(*key, F.inline_outer(F.transform("_ends", run)))
+    return runs.select(*key, "_term", F.log(F.col("_count").cast("double")).alias("_weight"))
+
+
 def samples(texts: DataFrame, key: list[str], text: str, count: int = SAMPLES) -> DataFrame:
     """``key`` and an array ``samples`` for each key; weights are term counts.
 
-    Terms are the words between white space (told apart by a 64-bit hash); without any the array
-    is NULL. Of a sample 32 bits of its hash are kept. If ``texts`` is hash-partitioned by some of
-    the ``key`` columns, nothing is shuffled.
+    Without terms the array is NULL. Of a sample 32 bits of its hash are kept. If ``texts`` is
+    hash-partitioned by some of the ``key`` columns, nothing is shuffled.
     """
-    words = texts.select(*key, F.explode(F.split(F.col(text), SPACE)).alias("_word"))
-    terms = words.select(*key, F.when(F.col("_word") != "", F.xxhash64("_word")).alias("_term"))
-    # A key's empty pieces (at a text's ends) have no weight: they only keep it among the rows.
-    weight = F.when(F.col("_term").isNotNull(), F.log(F.col("count").cast("double")))
-    weighed = terms.groupBy(*key, "_term").count().select(*key, "_term", weight.alias("_weight"))
     least = [F.min(sample(F.col("_term"), F.col("_weight"), i)).alias(f"_s{i}") for i in range(count)]
-    drawn = weighed.groupBy(*key).agg(*least)
+    drawn = weighed_terms(texts, key, text).groupBy(*key).agg(*least)
     kept = F.array(*[F.hash(f"_s{i}") for i in range(count)])
     return drawn.select(*key, F.when(F.col("_s0").isNotNull(), kept).alias("samples"))
 
@@ -126,32 +143,33 @@ def fingerprinted(docs: DataFrame, count: int = SAMPLES) -> DataFrame:
         F.col("_text").substr(F.lit(1), F.length("_text") - third),
         F.col("_next").substr(F.lit(1), third),
     )
-    key = ["_bucket", "_place"]
-    whole = rows.withColumn("_edited", F.when(~F.col("_guest"), edited))
+    whole = rows.select(
+        "_bucket", "_place", "_guest", "doc_id", "_text", F.length("_text").cast("long").alias("n_chars"),
+        F.when(~F.col("_guest"), edited).alias("_edited"),
+    )
+    # A row's facts go with both of its texts as parts of the key, so that no join brings them back.
+    facts = ["doc_id", "n_chars", "edited_sha256"]
+    digest = F.sha2(F.col("_edited").cast("binary"), 256)
+    none = F.lit(None).cast("string")
     sides = F.array(
-        F.struct(F.lit(0).alias("_side"), F.col("_text").alias("_words")),
-        F.struct(F.lit(1).alias("_side"), F.col("_edited").alias("_words")),
+        F.struct(F.lit(0).alias("_side"), none.alias("edited_sha256"), F.col("_text").alias("_words")),
+        F.struct(F.lit(1).alias("_side"), digest.alias("edited_sha256"), F.col("_edited").alias("_words")),
     )
-    drawn = samples(whole.select(*key, F.inline(sides)), [*key, "_side"], "_words", count)
-    by_row = drawn.groupBy(*key).agg(
+    key = ["_bucket", "_place"]
+    texts = whole.select(*key, "_guest", "doc_id", "n_chars", F.inline(sides))
+    drawn = samples(texts, [*key, "_guest", "_side", *facts], "_words", count)
+    by_row = drawn.groupBy(*key, "_guest", "doc_id", "n_chars").agg(
+        F.max("edited_sha256").alias("edited_sha256"),
         F.max(F.when(F.col("_side") == 0, F.col("samples"))).alias("_own"),
         F.max(F.when(F.col("_side") == 1, F.col("samples"))).alias("_new"),
     )
     after = F.lead("_own").over(Window.partitionBy("_bucket").orderBy("_place"))
-    compared = by_row.withColumn("_after", after).select(
-        *key, "_own", "_new",
-        likeness(F.col("_own"), F.col("_new")).alias("near_edited"),
-        likeness(F.col("_own"), F.col("_after")).alias("near_next"),
-    )
-    facts = whole.filter(~F.col("_guest")).select(
-        *key, "doc_id", F.length("_text").cast("long").alias("n_chars"),
-        F.sha2(F.col("_edited").cast("binary"), 256).alias("edited_sha256"),
-    )
-    return facts.join(compared, key).select(
-        "doc_id", "n_chars", "edited_sha256",
+    return by_row.withColumn("_after", after).filter(~F.col("_guest")).select(
+        *facts,
         printed(F.col("_own")).alias("fingerprint"),
         printed(F.col("_new")).alias("edited_fingerprint"),
-        "near_edited", "near_next",
+        likeness(F.col("_own"), F.col("_new")).alias("near_edited"),
+        likeness(F.col("_own"), F.col("_after")).alias("near_next"),
     )
 
 
