@@ -17,6 +17,10 @@ JOB_CONF = {
 }
 
 
+# The folder of each local session that names none: the setting can't be changed once it runs.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def build_session(app_name: str = "rentrank", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the job settings; ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app_name)
@@ -39,6 +43,8 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
         master = spark.sparkContext.master
         if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="rentrank-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="rentrank-")
+        shared = _LOCAL_FOLDERS[app]
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -4,7 +4,7 @@ from rentrank.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = build_session(
         "tests",
         master="local[8]",
@@ -14,8 +14,6 @@ def spark(tmp_path_factory):
         spark__driver__memory="6g",
     )
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("work")))
     yield session
     session.stop()
 
