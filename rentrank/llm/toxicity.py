@@ -1,14 +1,21 @@
 """Toxicity of texts by class-conditional Kneser-Ney models.
 
-Two models, one of toxic and one of ordinary texts, give every word a probability given the word
-before it; a text's score compares their log-likelihoods per word. Discounting is absolute, by
-one: an expression seen once in a class leaves its mass to the backoff wholly.
-
-* P_y(w | v) backs off from the class's word pairs to P_y(w).
-* P_y(w) spells w in chunks; a chunk is conditioned on the word so far. It backs off from the
-  class's counts to the counts that both classes share, and these to the shared continuation
-  counts of the chunk (how many beginnings it continues). A word that is rare, or new but begins
-  like others, is judged by its longest beginning that was seen.
+Two models, one of toxic and one of ordinary texts, give every word a probability; a text's score
+compares their log-likelihoods per word. A model spells a word in chunks: each chunk, the word's
+end included, is conditioned on all of the word before it. Counts are of documents, so that a line
+repeated in one text weighs no more than once.
+
+Discounting is absolute, by one: an expression seen once in a class leaves its mass to the backoff
+wholly. The backoff of both classes is the same: the counts of both together, which back off to
+the continuation counts of the chunk (how many beginnings it continues). It also gets the weight
+of STRENGTH further counts, so that a history that was rarely seen says little. A word that is rare,
+or new but begins like others, is so judged by its longest beginning that was seen.
+
+Most words favour one class a little, by chance or by topic; an abusive one does strongly. So a
+text's log-likelihood ratio, the sum of its words', is kept in three parts (within MILD of zero,
+beyond it above, beyond it below), each divided by the number of words. A logistic function of the
+three (the strong ones by their roots), fitted on documents the models have not seen, is the score;
+its offset puts one half where the fit tells these documents apart best, by F1.
 
 Counts come from a bounded sample of labelled documents and are summed by Spark. What was seen
 only once in either class has no part of its own and is not kept.
@@ -16,6 +23,7 @@ only once in either class has no part of its own and is not kept.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,22 +44,27 @@ TRAIN_DOCS = 7_000
 TRAIN_WORDS = 4_000_000
 #: Of the sample, documents with this remainder of their hash fit the calibration instead.
 CALIBRATION = 3
+#: Weight of the backoff beyond the discounts, in counts.
+STRENGTH = 50.0
+#: Log-likelihood ratios of a word up to which they are mild.
+MILD = 2.0
 #: Bytes after which a word is cut into chunks.
 CHUNKS = (3, 5, 7, 9)
-#: Words whose probabilities a worker remembers before it begins anew.
-REMEMBERED = 300_000
-#: Texts that are scored together.
+#: How strongly the logistic fit is pulled towards slope 0.
+PULL = 0.05
+#: Words whose ratios a worker remembers before it begins anew.
+REMEMBERED = 500_000
+#: Texts that are counted or scored together.
 TEXTS = 256
 
 ROOT = 0
-_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(29))
-_START = b"\n"  # stands before a text's first word; no word holds white space
-EVENTS = "kind int, parent long, node long, unit long, toxic long, ordinary long"
+WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+EVENTS = "parent long, node long, unit long, toxic long, ordinary long"
 
 
 def words_of(text: str | None) -> list[bytes]:
-    """Words between ASCII white space, A-Z as a-z."""
-    return (text or "").encode().lower().split()
+    """Runs of digits, letters and characters beyond ASCII, A-Z as a-z."""
+    return WORD.findall((text or "").encode().lower())
 
 
 def _hash(value: bytes) -> int:
@@ -65,10 +78,6 @@ def chain(word: bytes) -> list[tuple[bytes, bytes]]:
     return [*steps, (word + b"\n", word[cuts[-1] :] + b"\n")]
 
 
-def _pair(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return before * _MIX[0] + (word ^ (word >> _MIX[2])) * _MIX[1]
-
-
 def _signed(values) -> pa.Array:
     return pa.array(np.asarray(values, np.uint64).view(np.int64))
 
@@ -79,53 +88,40 @@ def held_out(doc_id: Column, folds: int) -> Column:
 
 
 def _events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of a batch: kind 0, chunks; kind 1, word pairs."""
+    """How many documents of either class have a chunk after a beginning, some texts at a time."""
     for batch in batches:
-        words, pairs = {}, {}
-        for toxic in (0, 1):
-            texts = [words_of(t) for t, y in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()) if y == toxic]
-            words[toxic] = Counter(w for text in texts for w in text)
-            pairs[toxic] = Counter(p for text in texts for p in zip([_START, *text], text))
-        rows: dict[tuple[int, int, int, int], list[int]] = {}
-        for toxic in (0, 1):
-            for word, n in words[toxic].items():
-                parent = ROOT
-                for sofar, chunk in chain(word):
-                    node = _hash(sofar)
-                    rows.setdefault((0, parent, node, _hash(chunk)), [0, 0])[toxic] += n
-                    parent = node
-            if not pairs[toxic]:
-                continue
-            before = np.array([_hash(v) for v, _ in pairs[toxic]], np.uint64)
-            after = np.array([_hash(w) for _, w in pairs[toxic]], np.uint64)
-            for v, node, n in zip(before.tolist(), _pair(before, after).tolist(), pairs[toxic].values()):
-                rows.setdefault((1, v, node, 0), [0, 0])[toxic] += n
-        keys = list(rows)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.int32()), *(_signed([k[i] for k in keys]) for i in (1, 2, 3)),
-             pa.array([rows[k][1] for k in keys], pa.int64()), pa.array([rows[k][0] for k in keys], pa.int64())],
-            ["kind", "parent", "node", "unit", "toxic", "ordinary"],
-        )
+        texts, marks = batch.column("text").to_pylist(), batch.column("toxic").to_pylist()
+        for i in range(0, len(texts), TEXTS):
+            words: tuple[Counter, Counter] = (Counter(), Counter())
+            for text, toxic in zip(texts[i : i + TEXTS], marks[i : i + TEXTS]):
+                words[toxic].update(set(words_of(text)))
+            rows: dict[tuple[int, int, int], list[int]] = {}
+            for toxic in (0, 1):
+                for word, n in words[toxic].items():
+                    parent = ROOT
+                    for sofar, chunk in chain(word):
+                        node = _hash(sofar)
+                        rows.setdefault((parent, node, _hash(chunk)), [0, 0])[toxic] += n
+                        parent = node
+            keys = list(rows)
+            yield pa.RecordBatch.from_arrays(
+                [*(_signed([k[j] for k in keys]) for j in range(3)),
+                 pa.array([rows[k][1] for k in keys], pa.int64()), pa.array([rows[k][0] for k in keys], pa.int64())],
+                ["parent", "node", "unit", "toxic", "ordinary"],
+            )
 
 
 @dataclass
 class Model:
-    """Sorted hashes, and what belongs to each; logarithms to base e."""
+    """Sorted hashes of beginnings, and what belongs to each; logarithms to base e."""
 
-    #: Chunks: log P in either class; the class's backoff weights for what follows them.
     nodes: np.ndarray
-    node_log: np.ndarray  # (n, 2): toxic, ordinary
-    node_weight: np.ndarray  # (n, 2), logarithms
-    root_weight: np.ndarray  # (2,)
-    least: float  # log of the smallest continuation probability
-    #: Word pairs: discounted probability in either class. Words as histories: backoff weights.
-    pairs: np.ndarray
-    pair_seen: np.ndarray
-    histories: np.ndarray
-    history_weight: np.ndarray
-    #: The score is the logistic function of slope * (log-likelihood ratio per word) + offset.
-    slope: float = 1.0
-    offset: float = 0.0
+    node_ratio: np.ndarray  # log P(chunk | beginning) of toxic less that of ordinary
+    node_weight: np.ndarray  # the same of the backoff weights for what follows
+    root_weight: float
+    #: The score is the logistic function of slopes @ features + offset.
+    slopes: np.ndarray
+    offset: float
 
 
 def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -141,59 +137,43 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     # Whole documents, as long as the class's words last: over at most 2 * TRAIN_DOCS rows.
     running = Window.partitionBy("toxic").orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     kept = texts.withColumn("sum", F.sum("size").over(running)).filter(F.col("sum") <= TRAIN_WORDS)
-    return kept.select("text", "toxic", (F.pmod("rank", F.lit(CALIBRATION)) > 0).alias("fit"))
-
-
-def _sorted(frame: DataFrame, key: str, values: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    got = frame.select(key, *values).toArrow()
-    keys = got.column(key).to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], np.stack([got.column(v).to_numpy().astype(np.float64) for v in values], axis=1)[order]
+    kept = kept.select("text", "toxic", (F.pmod("rank", F.lit(CALIBRATION)) > 0).alias("fit"))
+    return kept.dropDuplicates(["text", "toxic"])
 
 
 def _fitted(sample: DataFrame) -> Model:
-    """The models of the sample's ``fit`` rows. Sizes are bounded by the sample's."""
+    """The models of the sample's ``fit`` rows. Their size is bounded by the sample's."""
     events = sample.filter("fit").select("text", "toxic").mapInArrow(_events, EVENTS)
-    events = saved(events.groupBy("kind", "parent", "node", "unit").agg(F.sum("toxic").alias("t"), F.sum("ordinary").alias("o")), "events")
-    contexts = saved(
-        events.groupBy("kind", "parent").agg(
-            F.sum("t").alias("ht"), F.sum("o").alias("ho"), F.count_if(F.col("t") > 0).alias("nt"),
-            F.count_if(F.col("o") > 0).alias("no"), F.count(F.lit(1)).alias("n"),
-        ),
-        "contexts",
+    summed = events.groupBy("parent", "node", "unit").agg(F.sum("toxic").alias("t"), F.sum("ordinary").alias("o"))
+    events = saved(summed, "events")
+    contexts = events.groupBy("parent").agg(
+        F.sum("t").alias("ht"), F.sum("o").alias("ho"), F.count_if(F.col("t") > 0).alias("nt"),
+        F.count_if(F.col("o") > 0).alias("no"), F.count(F.lit(1)).alias("n"),
     )
-    chunks = events.filter("kind = 0")
-    beginnings = chunks.groupBy("unit").agg(F.count(F.lit(1)).alias("before"))
-    total = max(1, chunks.count())
-    seen = events.filter(F.greatest("t", "o") > 1).join(contexts, ["kind", "parent"])
+    contexts = saved(contexts, "contexts")
+    beginnings = events.groupBy("unit").agg(F.count(F.lit(1)).alias("before"))
+    total = max(1, events.count())
 
     def own(c: str, h: str) -> Column:
-        return F.when(F.col(h) > 0, F.greatest(F.col(c) - 1, F.lit(0)) / F.col(h)).otherwise(F.lit(0.0))
+        return F.greatest(F.col(c) - 1, F.lit(0)) / (F.col(h) + STRENGTH)
 
     def weight(n: str, h: str) -> Column:
-        return F.when(F.col(h) > 0, F.col(n) / F.col(h)).otherwise(F.lit(1.0))
-
-    both = F.col("ht") + F.col("ho")
-    shared = (F.col("t") + F.col("o") - 1) / both + F.col("n") / both * F.col("before") / total
-    spelled = seen.filter("kind = 0").join(beginnings, "unit").withColumn("shared", shared)
-    spelled = spelled.withColumn("lt", F.log(own("t", "ht") + weight("nt", "ht") * F.col("shared")))
-    spelled = spelled.withColumn("lo", F.log(own("o", "ho") + weight("no", "ho") * F.col("shared")))
-    weights = contexts.select("kind", "parent", F.log(weight("nt", "ht")).alias("wt"), F.log(weight("no", "ho")).alias("wo"))
-    after = weights.filter("kind = 0").select(F.col("parent").alias("node"), "wt", "wo")
-    spelled = spelled.join(after, "node", "left").select(
-        "node", "lt", "lo", F.coalesce("wt", F.lit(0.0)).alias("wt"), F.coalesce("wo", F.lit(0.0)).alias("wo")
-    )
-    nodes, facts = _sorted(spelled, "node", ["lt", "lo", "wt", "wo"])
-    pairs, pair_seen = _sorted(
-        seen.filter("kind = 1").select("node", own("t", "ht").alias("t"), own("o", "ho").alias("o")), "node", ["t", "o"]
-    )
-    worth = weights.filter("kind = 1 AND (wt < 0 OR wo < 0)")
-    histories, history_weight = _sorted(worth, "parent", ["wt", "wo"])
-    root = after.filter(F.col("node") == ROOT).select("wt", "wo").first()
-    return Model(
-        nodes, facts[:, :2], facts[:, 2:], np.array(root or (0.0, 0.0)), -float(np.log(total)),
-        pairs, pair_seen, histories, history_weight,
-    )
+        return (F.col(n) + STRENGTH) / (F.col(h) + STRENGTH)
+
+    both = F.col("ht") + F.col("ho") + STRENGTH
+    shared = (F.col("t") + F.col("o") - 1) / both + (F.col("n") + STRENGTH) / both * F.col("before") / total
+    seen = events.filter(F.greatest("t", "o") > 1).join(contexts, "parent").join(beginnings, "unit")
+    toxic = own("t", "ht") + weight("nt", "ht") * shared
+    ordinary = own("o", "ho") + weight("no", "ho") * shared
+    # What both classes leave to the backoff is the same distribution: only its weights differ.
+    after = contexts.select(F.col("parent").alias("node"), F.log(weight("nt", "ht") / weight("no", "ho")).alias("w"))
+    kept = seen.select("node", F.log(toxic / ordinary).alias("r")).join(after, "node", "left")
+    got = kept.select("node", "r", F.coalesce("w", F.lit(0.0)).alias("w")).toArrow()
+    nodes = got.column("node").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(nodes)
+    ratio, weights = (got.column(c).to_numpy().astype(float)[order] for c in ("r", "w"))
+    root = after.filter(F.col("node") == ROOT).first()
+    return Model(nodes[order], ratio, weights, root["w"] if root else 0.0, np.ones(3), 0.0)
 
 
 def _found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -205,88 +185,81 @@ def _found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class Scorer:
-    """Log-likelihood ratios of texts; remembers what belongs to a word."""
+    """Log-likelihood ratios of texts; remembers those of words."""
 
     def __init__(self, model: Model):
         self.model = model
-        self._forget()
-
-    def _forget(self) -> None:
-        self.ids: dict[bytes, int] = {}
-        self.hash = np.empty(0, np.uint64)
-        self.log = np.empty((0, 2))
-        self.weight = np.empty((0, 2))
-        self._learn([_START])
+        self.known: dict[bytes, float] = {}
 
     def _learn(self, words: list[bytes]) -> None:
         m = self.model
-        log, context = np.zeros((len(words), 2)), np.tile(m.root_weight, (len(words), 1))
+        ratio, weight = np.zeros(len(words)), np.full(len(words), m.root_weight)
         alive = np.ones(len(words), bool)
         chains = [[_hash(sofar) for sofar, _ in chain(w)] for w in words]
         for level in range(len(CHUNKS) + 1):
-            has = np.array([len(c) > level for c in chains])
-            wanted = np.array([c[level] if len(c) > level else 0 for c in chains], np.uint64)
-            at, there = _found(m.nodes, wanted)
-            there &= has & alive
-            log[there] += m.node_log[at[there]]
-            lost = has & alive & ~there
-            log[lost] += context[lost]
-            log[has & ~there] += m.least
-            context[there] = m.node_weight[at[there]]
+            alive &= np.array([len(c) > level for c in chains])
+            at, there = _found(m.nodes, np.array([c[level] if len(c) > level else 0 for c in chains], np.uint64))
+            lost, there = alive & ~there, alive & there
+            ratio[there] += m.node_ratio[at[there]]
+            # The first chunk that is not known comes from the backoff, and all after it as well.
+            ratio[lost] += weight[lost]
+            weight[there] = m.node_weight[at[there]]
             alive = there
-        hashes = np.array([_hash(w) for w in words], np.uint64)
-        at, there = _found(m.histories, hashes)
-        weight = np.zeros((len(words), 2))
-        weight[there] = m.history_weight[at[there]]
-        self.ids.update(zip(words, range(len(self.ids), len(self.ids) + len(words))))
-        self.hash = np.concatenate([self.hash, hashes])
-        self.log = np.concatenate([self.log, np.exp(log)])
-        self.weight = np.concatenate([self.weight, np.exp(weight)])
+        self.known.update(zip(words, ratio.tolist()))
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(words, log-likelihood ratio) of each text."""
+        """(words, parts of the log-likelihood ratio: mild, above, below) of each text."""
         split = [words_of(t) for t in texts]
-        n = np.fromiter(map(len, split), np.int64, len(split))
-        new = [w for w in set().union(*split) if w not in self.ids]
-        if len(new) + len(self.ids) > REMEMBERED:
-            self._forget()
+        new = [w for w in set().union(*split) if w not in self.known]
+        if len(new) + len(self.known) > REMEMBERED:
+            self.known.clear()
             new = list(set().union(*split))
         if new:
             self._learn(new)
-        ids = self.ids
-        word = np.fromiter((ids[w] for text in split for w in text), np.int64, int(n.sum()))
-        if not len(word):
-            return n, np.zeros(len(n))
-        before = np.empty_like(word)
-        before[1:] = word[:-1]
-        begins = (np.cumsum(n) - n)[n > 0]
-        before[begins] = ids[_START]
-        at, there = _found(self.model.pairs, _pair(self.hash[before], self.hash[word]))
-        likely = self.weight[before] * self.log[word]
-        likely[there] += self.model.pair_seen[at[there]]
-        ratio = np.log(likely[:, 0] / likely[:, 1])
-        sums = np.zeros(len(n))
-        sums[n > 0] = np.add.reduceat(ratio, begins)
-        return n, sums
+        n, parts = np.zeros(len(split), np.int64), np.zeros((len(split), 3))
+        for i, words in enumerate(split):
+            if words:
+                ratio = np.array([self.known[w] for w in words])
+                mild = np.clip(ratio, -MILD, MILD)
+                beyond = ratio - mild
+                n[i], parts[i] = len(words), (mild.sum(), beyond[beyond > 0].sum(), beyond[beyond < 0].sum())
+        return n, parts
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         """Between 0 and 1; a text without words gets the calibration's offset alone."""
         out = np.empty(len(texts))
         for i in range(0, len(texts), TEXTS):
-            n, ratio = self(texts[i : i + TEXTS])
-            z = self.model.slope * ratio / np.maximum(n, 1) + self.model.offset
+            n, parts = self(texts[i : i + TEXTS])
+            z = features(n, parts) @ self.model.slopes + self.model.offset
             out[i : i + TEXTS] = 1 / (1 + np.exp(-np.clip(z, -60, 60)))
         return out
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic fit with a slight pull towards slope 0, by Newton steps."""
-    if not len(x):
-        return 1.0, 0.0
-    scale = float(np.std(x)) or 1.0
-    features = np.stack([x / scale, np.ones_like(x)], axis=1)
-    beta, pull = np.zeros(2), np.diag([1e-2, 1e-6])
-    for _ in range(100):
+def features(n: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    """The parts per word, the strong ones by their roots: a text is no worse for its worst words."""
+    per_word = parts / np.maximum(n, 1)[:, None]
+    per_word[:, 1:] = np.sign(per_word[:, 1:]) * np.sqrt(np.abs(per_word[:, 1:]))
+    return per_word
+
+
+def _best_cut(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
+    """Where the texts of label 1 are told apart best, by F1: halfway between two of ``z``."""
+    order = np.argsort(-z, kind="stable")
+    z, hit = z[order], (weight * y)[order]
+    found = np.cumsum(hit)
+    f1 = 2 * found / (np.cumsum(weight[order]) + hit.sum())
+    f1[:-1][z[:-1] == z[1:]] = -1  # equal ones stay together
+    i = int(np.argmax(f1))
+    return float((z[i] + z[i + 1]) / 2) if i + 1 < len(z) else float(z[i] - 1)
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
+    """Slopes and offset of a logistic fit with a slight pull towards slope 0, by Newton steps."""
+    scale = np.std(x, axis=0)
+    scale[scale == 0] = 1.0
+    features = np.column_stack([x / scale, np.ones(len(x))])
+    beta, pull = np.zeros(features.shape[1]), np.diag([PULL] * x.shape[1] + [1e-6])
+    for _ in range(200):
         p = 1 / (1 + np.exp(-np.clip(features @ beta, -30, 30)))
         gradient = features.T @ (weight * (p - y)) + pull @ beta
         curve = (features * (weight * p * (1 - p))[:, None]).T @ features + pull
@@ -295,7 +268,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
         beta -= step
         if np.abs(step).max() < 1e-9:
             break
-    return float(beta[0] / scale), float(beta[1])
+    return beta[:-1] / scale, float(beta[-1])
 
 
 def fitted(docs: DataFrame, labels: DataFrame) -> Model:
@@ -308,25 +281,32 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model:
     share = {r["toxic"]: r["count"] for r in marked}
     toxic, ordinary = share.get(1, 0), share.get(0, 0)
     if not toxic or not ordinary:
-        empty = np.empty(0, np.uint64)
-        none = np.empty((0, 2))
+        none = np.empty(0)
         odds = float(np.log((toxic + 1e-9) / (ordinary + 1e-9)))
-        return Model(empty, none, none, np.zeros(2), 0.0, empty, none, empty, none, 0.0, odds)
+        return Model(none.astype(np.uint64), none, none, 0.0, np.zeros(3), odds)
     model = _fitted(sample)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in batches:
-            n, ratio = scorer(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(ratio / np.maximum(n, 1))], ["toxic", "x"])
-
-    # At most 2 * TRAIN_DOCS rows of two numbers.
-    rest = sample.filter("NOT fit").select("text", "toxic").mapInArrow(run, "toxic int, x double").toArrow()
-    y, x = rest.column("toxic").to_numpy().astype(float), rest.column("x").to_numpy()
+            n, parts = scorer(batch.column("text").to_pylist())
+            columns = [batch.column("toxic"), *(pa.array(x) for x in features(n, parts).T)]
+            yield pa.RecordBatch.from_arrays(columns, ["toxic", "mild", "above", "below"])
+
+    # At most 2 * TRAIN_DOCS rows of four numbers.
+    kinds = "toxic int, mild double, above double, below double"
+    rest = sample.filter("NOT fit").select("text", "toxic").mapInArrow(run, kinds).toArrow()
+    y = rest.column("toxic").to_numpy().astype(float)
+    x = np.stack([rest.column(c).to_numpy() for c in ("mild", "above", "below")], axis=1)
     # As often as in all labels, not as in the sample.
-    weight = np.where(y == 1, toxic / max(1, (y == 1).sum()), ordinary / max(1, (y == 0).sum()))
-    model.slope, model.offset = _logistic(x, y, weight * len(y) / weight.sum() if len(y) else weight)
+    if len(set(y.tolist())) < 2:
+        model.offset = float(np.log(toxic / ordinary))
+        return model
+    weight = np.where(y == 1, toxic / (y == 1).sum(), ordinary / (y == 0).sum())
+    weight *= len(y) / weight.sum()
+    model.slopes, _ = _logistic(x, y, weight)
+    model.offset = -_best_cut(x @ model.slopes, y, weight)
     return model
 
 

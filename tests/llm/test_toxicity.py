@@ -29,26 +29,17 @@ def corpus(n=600):
     return docs, labels
 
 
-def events(sample):
-    chunks = {0: Counter(), 1: Counter()}
-    pairs = {0: Counter(), 1: Counter()}
-    for text, toxic in sample:
-        words = tox.words_of(text)
-        for v, w in zip([b"\n", *words], words):
-            pairs[toxic][v, w] += 1
-        for w in words:
-            h = b""
-            for sofar, chunk in tox.chain(w):
-                chunks[toxic][h, sofar, chunk] += 1
-                h = sofar
-    return chunks, pairs
-
-
 class Plain:
-    """The same probabilities, from plain dictionaries."""
+    """The same ratios, from plain dictionaries."""
 
     def __init__(self, sample):
-        self.chunks, self.pairs = events(sample)
+        self.chunks = {0: Counter(), 1: Counter()}
+        for text, toxic in set(sample):
+            for w in set(tox.words_of(text)):
+                h = b""
+                for sofar, chunk in tox.chain(w):
+                    self.chunks[toxic][h, sofar, chunk] += 1
+                    h = sofar
         self.before = defaultdict(set)
         for y in (0, 1):
             for h, _, u in self.chunks[y]:
@@ -59,45 +50,40 @@ class Plain:
         p, h, lost = 1.0, b"", False
         for sofar, u in tox.chain(word):
             kept = not lost and max(self.chunks[z][h, sofar, u] for z in (0, 1)) > 1
-            own = {k: n for k, n in self.chunks[y].items() if k[0] == h}
+            own = {k: n for k, n in self.chunks[y].items() if k[0] == h and n}
             both = {k: self.chunks[0][k] + self.chunks[1][k] for z in (0, 1) for k in self.chunks[z] if k[0] == h}
-            size = sum(own.values())
-            weight = len(own) / size if size else 1.0
+            weight = (len(own) + tox.STRENGTH) / (sum(own.values()) + tox.STRENGTH)
             if kept:
-                c0, n0 = sum(both.values()), len(both)
-                shared = (both[h, sofar, u] - 1) / c0 + n0 / c0 * len(self.before[u]) / self.total
-                p *= (max(0, own.get((h, sofar, u), 0) - 1) / size if size else 0) + weight * shared
+                size, kinds = sum(both.values()) + tox.STRENGTH, sum(n > 0 for n in both.values())
+                shared = (both[h, sofar, u] - 1) / size
+                shared += (kinds + tox.STRENGTH) / size * len(self.before[u]) / self.total
+                p *= max(0, own.get((h, sofar, u), 0) - 1) / (sum(own.values()) + tox.STRENGTH) + weight * shared
             else:
-                p *= (1.0 if lost else weight) / self.total
+                p *= (1.0 if lost else weight) * 0.001  # whatever the backoff says, both classes alike
                 lost = True
             h = sofar
         return p
 
-    def ratio(self, text):
-        out, before = 0.0, b"\n"
-        for w in tox.words_of(text):
-            both = []
-            for y in (1, 0):
-                own = {k: n for k, n in self.pairs[y].items() if k[0] == before}
-                size = sum(own.values())
-                weight = len(own) / size if size else 1.0
-                seen = max(0, own.get((before, w), 0) - 1) / size if size else 0.0
-                both.append(seen + weight * self.spelled(y, w))
-            out += math.log(both[0] / both[1])
-            before = w
-        return out
-
-
-def test_ratios_equal_plain_counting(spark):
+    def parts(self, text):
+        ratios = [math.log(self.spelled(1, w) / self.spelled(0, w)) for w in tox.words_of(text)]
+        mild = [max(-tox.MILD, min(tox.MILD, r)) for r in ratios]
+        beyond = [r - m for r, m in zip(ratios, mild)]
+        return [sum(mild), sum(b for b in beyond if b > 0), sum(b for b in beyond if b < 0)]
+
+
+def test_ratios_equal_plain_counting(spark, monkeypatch):
+    monkeypatch.setattr(tox, "STRENGTH", 2.0)
+    monkeypatch.setattr(tox, "MILD", 0.5)
     docs, labels = corpus(60)
     mark = {d: y for d, _, y in labels}
-    sample = [(t, mark[d]) for d, t in docs if d in mark]
+    sample = sorted({(t, mark[d]) for d, t in docs if d in mark})
     frame = spark.createDataFrame([(t, y, True) for t, y in sample], "text string, toxic int, fit boolean")
     model, plain = tox._fitted(frame), Plain(sample)
     texts = [docs[0][1], docs[1][1], "never seen at all", "scoundrelly bal", "", None, "bal bal\tBAL"]
-    n, ratio = tox.Scorer(model)(texts)
+    n, parts = tox.Scorer(model)(texts)
     assert n.tolist() == [len(tox.words_of(t)) for t in texts]
-    assert ratio == pytest.approx([plain.ratio(t) for t in texts], abs=1e-9)
+    for got, text in zip(parts.tolist(), texts):
+        assert got == pytest.approx(plain.parts(text), abs=1e-9)
 
 
 def test_held_out_documents_are_told_apart(spark):
