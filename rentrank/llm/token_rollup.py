@@ -28,10 +28,7 @@ TOKENIZERS = {"space-1": "[\\x09-\\x0D\\x20]+", "alnum-1": "[\\x00-\\x2F\\x3A-\\
 def token_count(text: Column, separator: str) -> Column:
     """Pieces between separators that are not empty; 0 for NULL."""
     pieces = F.split(F.coalesce(text, F.lit("")), separator)
-    n = F.size(pieces)
-    first = F.when(F.get(pieces, F.lit(0)) == "", 1).otherwise(0)
-    last = F.when((n > 1) & (F.get(pieces, n - 1) == ""), 1).otherwise(0)
-    return (n - first - last).cast("long")
+    return F.size(F.array_remove(pieces, "")).cast("long")
 
 
 def deltas(changes: DataFrame) -> DataFrame:
@@ -124,7 +121,7 @@ class Rollup:
 
 
 def _counted(docs: DataFrame, change: str, text: Column, old: Column | None = None) -> DataFrame:
-    """A change per document and tokenizer version."""
+    """A change per document and tokenizer version, and its doc_id: the text is left behind."""
     versions = [
         F.struct(
             F.lit(name).alias("tokenizer"), token_count(text, separator).alias("tokens"),
@@ -132,7 +129,7 @@ def _counted(docs: DataFrame, change: str, text: Column, old: Column | None = No
         )
         for name, separator in TOKENIZERS.items()
     ]
-    return docs.select(F.lit(change).alias("change"), "source", "lang", F.inline(F.array(*versions)))
+    return docs.select("doc_id", F.lit(change).alias("change"), "source", "lang", F.inline(F.array(*versions)))
 
 
 def op7_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,7 +146,8 @@ def op7_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     batches = {
         "load": _counted(docs, INSERT, F.col("text")),
         "scrub": _counted(docs.filter(F.col("text").rlike("[0-9]")), REVISE, clean, F.col("text")),
-        "toxic": _counted(docs.join(labels, "doc_id", "left_semi"), DELETE, clean),
+        # An inner join with distinct ids: Spark would move a semi-join below the counting, to the texts.
+        "toxic": _counted(docs, DELETE, clean).join(labels, "doc_id"),
     }
     for _ in range(2):
         for batch, changes in batches.items():
