@@ -16,9 +16,11 @@ from __future__ import annotations
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
@@ -32,7 +34,12 @@ DEPTH = 4
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 #: Words whose ids a worker remembers, before it begins anew: about 200 bytes each.
-REMEMBERED = 400_000
+REMEMBERED = 900_000
+#: Texts that are looked up together, and new words that are encoded as one text.
+TEXTS, WORDS = 2_000, 5_000
+#: Characters one of which may stand between words that are encoded as one text.
+MARKS = "^~"
+POINTS = ".,;:!?"
 
 TOKENS = "doc_id {id}, ids binary, n long, part int, bin int, rank long, fulls long, tails long"
 PIECES = (
@@ -55,22 +62,75 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.known: dict[bytes, bytes] = {}
-
-    def __call__(self, text: str | None, end: int) -> bytes:
-        words = (text or "").encode().split()  # bytes: at ASCII white space only
+        self.known: dict[str, bytes] = {}
+        single = [(c, i[0]) for c in MARKS if len(i := self._ids(c)) == 1]
+        self.mark, self.mark_id = single[0] if single else (None, None)
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _learn(self, words: list[str]) -> None:
+        """Find the ids of ``words``: many as one text, told apart by a mark that none contains."""
+        plain = [w for w in words if self.mark and self.mark not in w]
+        for i in range(0, len(plain), WORDS):
+            part = plain[i : i + WORDS]
+            ids = np.array(self._ids(f" {self.mark} ".join(part)), self.kind)
+            ends = np.r_[np.flatnonzero(ids == self.mark_id), len(ids)]
+            if len(ends) == len(part):  # else each by itself, below
+                width, raw, start = ids.itemsize, ids.tobytes(), 0
+                for word, end in zip(part, ends.tolist()):
+                    self.known[word] = raw[start * width : end * width]
+                    start = end + 1
+        for word in words:
+            if word not in self.known:
+                self.known[word] = np.array(self._ids(word), self.kind).tobytes()
+
+    def _of_words(self, words: list[str]) -> list[bytes]:
+        """The ids of each word: those of its plain form, then those of the points that end it."""
+        forms = [_form(w) for w in words]
         known = self.known
-        missing = [w for w in set(words) if w not in known]
-        if missing:
-            if len(known) + len(missing) > REMEMBERED:
+        new = {f for f, _ in forms if f not in known}
+        if new:
+            if len(known) + len(new) > REMEMBERED:
                 known.clear()
-                missing = list(set(words))
-            for i in range(0, len(missing), 10_000):
-                part = missing[i : i + 10_000]
-                texts = [w.decode() for w in part]
-                for word, got in zip(part, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                    known[word] = np.array(got.ids, self.kind).tobytes()
-        return b"".join([known[w] for w in words]) + np.array([end], self.kind).tobytes()
+                new = {f for f, _ in forms}
+            self._learn(list(new | {p for _, p in forms}))
+        return [known[f] + known[p] if p else known[f] for f, p in forms]
+
+    def __call__(self, texts: pa.Array, end: int) -> list[bytes]:
+        """The ids of each text, then ``end``, as little-endian numbers."""
+        out = []
+        for i in range(0, len(texts), TEXTS):
+            # At ASCII white space only, which the tokenizer drops; pieces may be empty.
+            split = pc.ascii_split_whitespace(pc.fill_null(texts.slice(i, TEXTS), ""))
+            coded = split.flatten().dictionary_encode()
+            ids = self._of_words(coded.dictionary.to_pylist())
+            pool = np.frombuffer(b"".join(ids), self.kind)
+            size = np.fromiter(map(len, ids), np.int64, len(ids)) // pool.itemsize
+            start = np.cumsum(size) - size
+            word = coded.indices.to_numpy()
+            many = size[word]
+            ends = np.cumsum(many)
+            flat = pool[np.repeat(start[word] - ends + many, many) + np.arange(many.sum())]
+            reach = np.r_[0, ends][np.cumsum(pc.list_value_length(split).to_numpy())]
+            last = np.array([end], self.kind).tobytes()
+            out += [flat[a:b].tobytes() + last for a, b in zip([0, *reach[:-1].tolist()], reach.tolist())]
+        return out
+
+
+def _form(word: str) -> tuple[str, str]:
+    """(what a word is remembered as, the points after it).
+
+    After a letter or a digit a run of points is a token by itself to the tokenizer, and it
+    lower-cases, so words that differ in these only are remembered once.
+    """
+    core = word.rstrip(POINTS)
+    if not core.isalnum():
+        return word, ""
+    if core.isascii():
+        return core.lower(), word[len(core) :]
+    # What the tokenizer makes of some letters ends in a mark, which would take in the points.
+    return (core, word[len(core) :]) if normalize("NFC", core).lower()[-1].isalnum() else (word, "")
 
 
 _TOKENIZERS: dict[str, WordIds] = {}
@@ -102,7 +162,7 @@ def tokenized(docs: DataFrame, path: str) -> DataFrame:
         part = TaskContext.get().partitionId()
         ranks, fulls, tails = np.zeros(LENGTH // UNIT, np.int64), 0, 0
         for batch in batches:
-            ids = [encode(text, END_ID) for text in batch.column("text").to_pylist()]
+            ids = encode(batch.column("text"), END_ID)
             n = np.fromiter((len(x) // width for x in ids), np.int64, len(ids))
             bins = n % LENGTH // UNIT
             rank = np.empty(len(n), np.int64)

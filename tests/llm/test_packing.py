@@ -2,6 +2,7 @@ import itertools
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -65,12 +66,18 @@ def test_repeated_rows_are_packed_as_often(spark, path):
     assert sum(r.length for r in got) == 20
 
 
-def test_remembering_less_changes_nothing(path, monkeypatch):
-    texts = [" ".join(f"word{i}{j}" for i in range(30)) for j in range(20)]
-    whole = [packing.WordIds(path)(t, 2) for t in texts]
+def test_remembering_less_and_marks_change_nothing(path, monkeypatch):
+    texts = [None, "", " "] + [" ".join(f"word{i}{j} ^{i} ~ a^b" for i in range(30)) for j in range(20)] + ["<|endoftext|> x<|endoftext|>.", "The the, THE. É. é; É!? 3.5, 12. x'S, ..., it's. ½. ǅ. İ. ⅷ: a-. a.b, ß?! ٣.", " \x0b a\x0c\n", None]
+    column = pa.array(texts, pa.string())
+    want = [np.array(real_ids(path, t), "<u2").tobytes() for t in texts]
+    assert packing.WordIds(path)(column, 2) == want
     monkeypatch.setattr(packing, "REMEMBERED", 40)
+    monkeypatch.setattr(packing, "TEXTS", 3)
+    monkeypatch.setattr(packing, "WORDS", 7)
     few = packing.WordIds(path)
-    assert [few(t, 2) for t in texts] == whole
+    assert few.mark is not None and few(column, 2) == want
+    monkeypatch.setattr(packing, "MARKS", "")
+    assert packing.WordIds(path)(column, 2) == want
 
 
 def test_combinations():
