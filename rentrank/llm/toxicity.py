@@ -32,14 +32,13 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rentrank.llm.store import saved, table
 
 FOLDS = 5
-#: The models are fitted on at most so many labelled documents, and so many words, of each class:
-#: those whose hash of the id is smallest. Everything else is over all rows.
+#: The models are fitted on at most so many distinct labelled texts, and so many words, of each
+#: class: those whose hash is smallest. Everything else is over all rows.
 TRAIN_DOCS = 7_000
 TRAIN_WORDS = 4_000_000
 #: Of the sample, documents with this remainder of their hash fit the calibration instead.
@@ -125,20 +124,49 @@ class Model:
 
 
 def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """text, toxic, fit: the bounded sample of labelled rows outside the held-out fold."""
+    """text, toxic, fit, calibrate: the bounded sample of labelled texts outside the held-out fold.
+
+    Copies count once, whatever their ids, before anything is drawn. A text beyond the whole word
+    budget is not drawn, one beyond what is left of it is passed over: others keep their places.
+    """
     marked = labels.filter(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"), FOLDS))
-    marked = marked.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    order = F.xxhash64("doc_id", F.lit("toxicity"))
-    first = [marked.filter(F.col("toxic") == y).orderBy(order, "doc_id").limit(TRAIN_DOCS) for y in (0, 1)]
-    chosen = saved(first[0].unionByName(first[1]).select(F.col("doc_id").alias("_id"), "toxic"), "sample-ids")
-    texts = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id"))
-    size = F.size(F.split(F.coalesce("text", F.lit("")), "\\s+"))
-    texts = saved(texts.select("doc_id", "text", "toxic", order.alias("rank"), size.alias("size")), "sample")
-    # Whole documents, as long as the class's words last: over at most 2 * TRAIN_DOCS rows.
-    running = Window.partitionBy("toxic").orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    kept = texts.withColumn("sum", F.sum("size").over(running)).filter(F.col("sum") <= TRAIN_WORDS)
-    kept = kept.select("text", "toxic", (F.pmod("rank", F.lit(CALIBRATION)) > 0).alias("fit"))
-    return kept.dropDuplicates(["text", "toxic"])
+    marked = marked.groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    text = F.coalesce("text", F.lit(""))
+    rank = F.xxhash64(text, F.lit("toxicity")).alias("rank")
+    size = F.size(F.split(text, "\\s+"))
+    # So many words have a blank each but one: of most texts, the length says enough.
+    over = F.when(F.length(text) >= 2 * TRAIN_WORDS, size > TRAIN_WORDS).otherwise(False).alias("over")
+    hashed = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", rank, over).distinct()
+    distinct = hashed.join(marked, F.col("doc_id") == F.col("_id")).select("rank", "over", "toxic").distinct()
+    distinct = saved(distinct, "labelled-texts")
+    there = {r["toxic"] for r in distinct.select("toxic").distinct().collect()}
+    small = distinct.filter("NOT over")
+    first = [small.filter(F.col("toxic") == y).orderBy("rank").limit(TRAIN_DOCS) for y in (0, 1)]
+    chosen = saved(first[0].unionByName(first[1]).select(F.col("rank").alias("_rank"), "toxic"), "sample-ranks")
+    texts = docs.select(text.alias("text"), rank).join(F.broadcast(chosen), F.col("rank") == F.col("_rank"))
+    texts = saved(texts.dropDuplicates(["rank", "toxic"]).select("text", "rank", "toxic", size.alias("size")), "sample")
+    # At most 2 * TRAIN_DOCS rows of three numbers.
+    sizes = sorted(tuple(r) for r in texts.select("toxic", "rank", "size").collect())
+    taken = [row for y in (0, 1) for row in _within_budget([(r, n) for t, r, n in sizes if t == y], y)]
+    if lost := there - {t for t, *_ in taken}:
+        raise ValueError(f"all labelled texts with toxic = {sorted(lost)} have more than {TRAIN_WORDS} words")
+    parts = docs.sparkSession.createDataFrame(taken, "_toxic int, _rank long, fit boolean, calibrate boolean")
+    same = (F.col("rank") == F.col("_rank")) & (F.col("toxic") == F.col("_toxic"))
+    return texts.join(F.broadcast(parts), same).select("text", "toxic", "fit", "calibrate")
+
+
+def _within_budget(sizes: list[tuple[int, int]], toxic: int) -> list[tuple[int, int, bool, bool]]:
+    """(toxic, rank, fit, calibrate) of a class's texts, given as (rank, words), as long as words last."""
+    left, ranks = TRAIN_WORDS, []
+    for rank, n in sizes:
+        if n <= left:
+            left -= n
+            ranks.append(rank)
+    fit = [r % CALIBRATION > 0 for r in ranks]
+    # A class with too few texts for two parts has its first one in both.
+    fits = [f or (i == 0 and not any(fit)) for i, f in enumerate(fit)]
+    calibrates = [not f or (i == 0 and all(fit)) for i, f in enumerate(fit)]
+    return list(zip([toxic] * len(ranks), ranks, fits, calibrates))
 
 
 def _fitted(sample: DataFrame) -> Model:
@@ -274,13 +302,14 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndar
 def fitted(docs: DataFrame, labels: DataFrame) -> Model:
     """Models and calibration from the labelled rows of ``docs`` outside the held-out fold.
 
-    Without labelled rows of both classes the score is the toxic share of the labels everywhere.
+    Without labelled texts of both classes the score is the toxic share of the labels everywhere.
     """
     sample = saved(_sample(docs, labels), "fit")
+    classes = {r["toxic"] for r in sample.select("toxic").distinct().collect()}
     marked = labels.filter(~held_out(F.col("doc_id"), FOLDS)).groupBy("toxic").count().collect()
     share = {r["toxic"]: r["count"] for r in marked}
     toxic, ordinary = share.get(1, 0), share.get(0, 0)
-    if not toxic or not ordinary:
+    if classes != {0, 1}:
         none = np.empty(0)
         odds = float(np.log((toxic + 1e-9) / (ordinary + 1e-9)))
         return Model(none.astype(np.uint64), none, none, 0.0, np.zeros(3), odds)
@@ -296,13 +325,10 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model:
 
     # At most 2 * TRAIN_DOCS rows of four numbers.
     kinds = "toxic int, mild double, above double, below double"
-    rest = sample.filter("NOT fit").select("text", "toxic").mapInArrow(run, kinds).toArrow()
+    rest = sample.filter("calibrate").select("text", "toxic").mapInArrow(run, kinds).toArrow()
     y = rest.column("toxic").to_numpy().astype(float)
     x = np.stack([rest.column(c).to_numpy() for c in ("mild", "above", "below")], axis=1)
     # As often as in all labels, not as in the sample.
-    if len(set(y.tolist())) < 2:
-        model.offset = float(np.log(toxic / ordinary))
-        return model
     weight = np.where(y == 1, toxic / (y == 1).sum(), ordinary / (y == 0).sum())
     weight *= len(y) / weight.sum()
     model.slopes, _ = _logistic(x, y, weight)

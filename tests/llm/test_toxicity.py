@@ -127,3 +127,65 @@ def test_empty_table(spark):
     model = tox.fitted(empty, spark.createDataFrame([(1, 1, 0), (2, 1, 1)], LABELS))
     assert tox.scored(empty, model).collect() == []
     assert tox.without_toxic(empty, model).collect() == []
+
+
+def of_class(docs, toxic):
+    labels = [(i, 1, int(i in toxic)) for i, _ in docs if i is not None and zlib.crc32(str(i).encode()) % 5]
+    return docs, [*dict.fromkeys(labels)]
+
+
+def outside(n, start):
+    """``n`` ids outside the held-out fold."""
+    ids = (i for i in range(start, start + 10 * n) if zlib.crc32(str(i).encode()) % 5)
+    return [next(ids) for _ in range(n)]
+
+
+def drawn(spark, docs, labels):
+    rows = tox._sample(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)).collect()
+    return {(r.text, r.toxic) for r in rows}, rows
+
+
+def test_a_text_above_the_word_budget_shuts_out_no_other(spark, monkeypatch):
+    monkeypatch.setattr(tox, "TRAIN_WORDS", 100)
+    ids = outside(21, 0)
+    for long in ids[:3]:
+        docs = [(i, "bad " * 101 if i == long else f"fine {i}") for i in ids] + [(i, f"mild {i}") for i in outside(9, 1000)]
+        got, _ = drawn(spark, *of_class(docs, set(ids)))
+        assert got == {(t, int(i in ids)) for i, t in docs if i != long}
+    # One that only what is left has no room for is passed over as well.
+    docs = [(i, "w " * 60 + str(i) if k < 3 else f"s {i}") for k, i in enumerate(ids)] + [(5000, "mild")]
+    got, _ = drawn(spark, *of_class(docs, set(ids)))
+    toxic = [t for t, y in got if y]
+    assert sum(t.startswith("w") for t in toxic) <= 1 and sum(t.startswith("s") for t in toxic) == 18
+
+
+def test_a_class_of_nothing_but_long_texts_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(tox, "TRAIN_WORDS", 100)
+    ids = outside(3, 0)
+    docs = [(i, f"bad{i} " * 101) for i in ids] + [(i, f"mild {i}") for i in outside(9, 1000)]
+    docs, labels = of_class(docs, set(ids))
+    with pytest.raises(ValueError, match="toxic = \\[1\\]"):
+        tox.fitted(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS))
+
+
+def test_copies_take_no_places(spark, monkeypatch):
+    monkeypatch.setattr(tox, "TRAIN_DOCS", 12)
+    ids = outside(62, 0)
+    docs = [(i, "copied" if k < 50 else f"bad {i}") for k, i in enumerate(ids)]
+    docs += [(ids[51], "of a repeated id"), (ids[51], "of a repeated id"), (ids[0], "copied")]
+    docs = [d for d in docs if d[1] != f"bad {ids[61]}"] + [(i, f"mild {i}") for i in outside(9, 1000)]
+    got, rows = drawn(spark, *of_class(docs, set(ids)))
+    want = {(t, int(i in ids)) for i, t in docs}
+    assert len(rows) == len(got) and got <= want
+    assert sum(y for _, y in got) == min(12, sum(y for _, y in want)) and len(got) - sum(y for _, y in got) == 9
+    monkeypatch.setattr(tox, "TRAIN_DOCS", 100)
+    assert drawn(spark, *of_class(docs, set(ids)))[0] == want
+
+
+def test_a_class_of_copies_still_fits(spark):
+    ids, plain = outside(30, 0), outside(90, 1000)
+    docs = [(i, "scoundrel knave scoundrel") for i in ids] + [(i, f"mild weather {i % 7} again {i}") for i in plain]
+    docs, labels = of_class(docs, set(ids))
+    frame, marks = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
+    got = tox.scored(frame, tox.fitted(frame, marks)).collect()
+    assert all(r.predicted == int(r.doc_id in ids) for r in got)
