@@ -8,9 +8,15 @@ estimation on the counts of all class triples of the training texts, a table of
 CLASSES ** 3 numbers however large the corpus. As there are only CLASSES ** 2 contexts, one batched
 matrix product gives the normalised log-probabilities of every class in every context.
 
-Within a class of rare words, a word's probability is its share of the class's tokens in all
-training texts, smoothed by 0.1 per word and 0.1 for words not seen. Tokens of rare words are dealt
-out by word; only sums per document come back.
+Within a class of rare words a second log-bilinear model, of words, tells them apart. Every word
+with MIN_COUNT training tokens has its own vectors, so their number grows with the corpus; all
+others of a class share theirs. The two words before the token add up to the context. It is trained
+by noise-contrastive estimation on all training tokens of these classes, in mini-batches inside
+Spark's tasks, whose parameters are averaged after each pass. Scores are normalised over the class.
+It starts as the unigram model: a word's share of the class's tokens in all training texts, smoothed
+by 0.1 per word and 0.1 for words not seen. By this share the words without vectors of their own
+divide what the class's shared vector gets. Tokens of rare words are dealt out by word; only sums
+per document, and the counts of the words with vectors, come back.
 """
 
 from __future__ import annotations
@@ -40,9 +46,15 @@ ADDED = 0.1
 TRACKED = 5_000
 #: The neural model.
 WIDTH, BATCH, NOISE, STEPS, RATE = 32, 1024, 64, 3_000, 0.02
+#: Draws from the triple table, which holds all tokens, follow their number up to so many per cell.
+DRAWS = 10
+#: The model of words: tokens that a word needs for vectors of its own, passes, step, tasks, rows sent together.
+MIN_COUNT, PASSES, WORD_RATE, TRAINERS, BLOCK = 1_000, 1, 0.05, 128, 256
+#: Words that a worker remembers before it begins anew.
+REMEMBERED = 300_000
 
 SPACE = "[\\x09-\\x0D\\x20]+"
-CODES = "doc_id {id}, text_hash long, held_out boolean, codes binary"
+CODES = "doc_id {id}, text_hash long, held_out boolean, codes binary, units binary"
 OUT = (
     "doc_id {id}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 )
@@ -71,12 +83,40 @@ def _ending_column(word: str) -> Column:
     return F.pmod(F.xxhash64(F.substring(raw, -ENDING_BYTES, ENDING_BYTES)), F.lit(ENDINGS))
 
 
-def coded(docs: DataFrame, frequent: list[bytes]) -> DataFrame:
-    """doc_id, text_hash, held_out and the class of each token, the end included, one byte each."""
+@dataclass
+class Vocabulary:
+    """Units of the model of words: frequent words and the end, then of each other class its shared one and its words."""
+
+    first: np.ndarray  # the shared unit of each class; one entry more, the number of units
+    names: np.ndarray  # sorted: 56 bits of the words' hashes and their class; see rare_sums
+    units: np.ndarray  # theirs
+    counts: np.ndarray  # training tokens by unit, of the words alone
+
+    @staticmethod
+    def of(names: list[int], counts: list[int]) -> Vocabulary:
+        found = np.array(names, np.int64)
+        order = np.argsort(found)
+        found, kind = found[order], found[order] & 255
+        first = 1 + FREQUENT + np.arange(ENDINGS + 1) + np.searchsorted(np.sort(kind), np.arange(ENDINGS + 1))
+        place = np.empty(len(found), np.int64)
+        by_kind = np.argsort(kind, kind="stable")
+        place[by_kind] = np.arange(len(found)) + kind[by_kind] + 2 + FREQUENT
+        known = np.zeros(first[-1])
+        known[place] = np.array(counts, float)[order]
+        return Vocabulary(first, found, place, known)
+
+
+def coded(docs: DataFrame, frequent: list[bytes], vocabulary: Vocabulary | None = None) -> DataFrame:
+    """doc_id, text_hash, held_out, the class of each token, the end included, one byte each, and the
+    unit of each token of a class of rare words: all first bytes (the lowest), all second ones and so on."""
     known = {w: i + 1 for i, w in enumerate(frequent)}
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary or Vocabulary.of([], []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        unit_of = dict(zip(own.names.tolist(), own.units.tolist()))
         endings: dict[bytes, int] = {}
+        met: dict[bytes, int] = {}
 
         def rare(word: bytes) -> int:
             end = word[-ENDING_BYTES:]
@@ -84,18 +124,180 @@ def coded(docs: DataFrame, frequent: list[bytes]) -> DataFrame:
                 endings[end] = 1 + FREQUENT + _ending_class(end)
             return endings[end]
 
+        def unit(word: bytes) -> int:
+            kind = rare(word) - 1 - FREQUENT
+            name = xxhash.xxh64_intdigest(word, 42) & ~255 | kind
+            if len(met) >= REMEMBERED:
+                met.clear()
+            met[word] = found = unit_of.get(name - (1 << 64) if name >> 63 else name) or int(own.first[kind])
+            return found
+
         for batch in batches:
-            codes = []
+            codes, units = [], []
             for text in batch.column("text").to_pylist():
                 words = (text or "").encode().lower().split()  # bytes: A-Z and ASCII white space only
                 codes.append(bytes([known.get(w) or rare(w) for w in words]) + b"\0")
+                several = np.array([met.get(w) or unit(w) for w in words if w not in known], "<u4")
+                units.append(several.view(np.uint8).reshape(-1, 4).T.tobytes())
             columns = [batch.column(c) for c in ("doc_id", "text_hash", "held_out")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(codes, pa.binary())], ["doc_id", "text_hash", "held_out", "codes"])
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(codes, pa.binary()), pa.array(units, pa.binary())],
+                ["doc_id", "text_hash", "held_out", "codes", "units"],
+            )
 
     chosen = docs.select("doc_id", text_hash().alias("text_hash"), held_out(F.col("doc_id"), FOLDS).alias("held_out"), "text")
     return chosen.mapInArrow(run, CODES.format(id=chosen.schema["doc_id"].dataType.simpleString()))
 
 
+def _units(codes: list[bytes], units: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(place, unit, unit before, unit before that) of the tokens of rare classes of some texts."""
+    code = np.frombuffer(b"".join(codes), np.uint8).astype(np.int64)
+    sizes = np.fromiter(map(len, codes), np.int64, len(codes))
+    start = np.cumsum(sizes) - sizes
+    place = np.flatnonzero(code > FREQUENT)
+    planes = [np.frombuffer(u, np.uint8).reshape(4, -1).T for u in units]
+    rare = np.ascontiguousarray(np.concatenate(planes)).view("<u4").ravel() if planes else np.empty(0)
+    code[place] = rare
+    one = np.r_[0, code[:-1]]
+    one[start] = 0
+    two = np.r_[0, one[:-1]]
+    two[start] = 0
+    return place, code[place], one[place], two[place]
+
+
+class WordModel:
+    """P(unit | its class, the two units before), log-bilinear: each unit has a vector as the word before,
+    one as the word before that, one as the predicted word, and a bias."""
+
+    def __init__(self, vocabulary: Vocabulary, tokens: np.ndarray, types: np.ndarray):
+        """``tokens`` and ``types`` by class of the other model; the vectors start as the unigram model."""
+        first, rng = vocabulary.first, np.random.default_rng(1)
+        n = int(first[-1])
+        self.first = first
+        self.one, self.two = (rng.normal(0, 0.1, (n, WIDTH)).astype(np.float32) for _ in range(2))
+        self.out = np.zeros((n, WIDTH), np.float32)
+        #: Rest of each class: log10 of what its words' counts are divided by. Words: log10(count + 0.1).
+        self.rest = np.zeros(ENDINGS)
+        self.own = np.log10(vocabulary.counts + ADDED)
+        share = vocabulary.counts + ADDED
+        for c in range(ENDINGS):
+            words = slice(first[c] + 1, first[c + 1])
+            n_rest = tokens[1 + FREQUENT + c] - vocabulary.counts[words].sum()
+            share[first[c]] = n_rest + ADDED * (types[1 + FREQUENT + c] - (first[c + 1] - first[c] - 1) + 1)
+            self.rest[c] = np.log10(share[first[c]])
+            share[first[c] : first[c + 1]] /= share[first[c] : first[c + 1]].sum()
+        self.bias = np.log(share).astype(np.float32)
+        self.noise = share  # of each class by itself
+
+    def flat(self) -> np.ndarray:
+        return np.column_stack([self.one, self.two, self.out, self.bias])
+
+    def load(self, flat: np.ndarray) -> None:
+        self.one, self.two, self.out = (np.ascontiguousarray(flat[:, i * WIDTH : (i + 1) * WIDTH]) for i in range(3))
+        self.bias = np.ascontiguousarray(flat[:, -1])
+
+    def by_class(self, unit: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(first unit, first of the next class, places) of the classes among ``unit`` with words of their own."""
+        kind = np.searchsorted(self.first, unit, "right") - 1
+        order = np.argsort(kind, kind="stable")
+        ends = np.searchsorted(kind[order], np.arange(ENDINGS + 1))
+        for c in range(ENDINGS):
+            if ends[c] < ends[c + 1] and self.first[c + 1] - self.first[c] > 1:
+                yield int(self.first[c]), int(self.first[c + 1]), order[ends[c] : ends[c + 1]]
+
+    def log_shares(self, unit: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """log10 P(unit | class, context), normalised over the class."""
+        out = np.zeros(len(unit))
+        for a, b, every in self.by_class(unit):
+            rows = max(1, (1 << 20) // (b - a))
+            for i in range(0, len(every), rows):
+                some = every[i : i + rows]
+                z = (self.one[one[some]] + self.two[two[some]]) @ self.out[a:b].T + self.bias[a:b]
+                z -= z.max(axis=1, keepdims=True)
+                got = z[np.arange(len(some)), unit[some] - a].astype(float)
+                out[some] = (got - np.log(np.exp(z).sum(axis=1, dtype=float))) / np.log(10)
+        return out
+
+    def learn(self, texts: Iterator[tuple[list[bytes], list[bytes]]]) -> tuple[np.ndarray, np.ndarray]:
+        """Steps over all tokens; (rows' changes times uses, uses by table) for the average over tasks."""
+        before, rng = self.flat(), np.random.default_rng(2)
+        uses = np.zeros((len(before), 3), np.float32)
+        squares = {k: np.zeros(len(before), np.float32) for k in ("one", "two", "out", "bias")}
+
+        def step(name: str, rows: np.ndarray, slopes: np.ndarray) -> None:
+            order = np.argsort(rows, kind="stable")
+            at = np.flatnonzero(np.r_[True, np.diff(rows[order]) > 0])
+            rows, slopes = rows[order][at], np.add.reduceat(slopes[order], at)
+            squares[name][rows] += (slopes**2).mean(axis=1) if slopes.ndim > 1 else slopes**2
+            rate = WORD_RATE / np.sqrt(squares[name][rows] + 1e-12)
+            getattr(self, name)[rows] -= (rate[:, None] if slopes.ndim > 1 else rate) * slopes
+
+        for codes, units in texts:
+            _, unit, one, two = _units(codes, units)
+            for i, seen in enumerate((one, two, unit)):
+                uses[:, i] += np.bincount(seen, minlength=len(before))
+            for a, b, every in self.by_class(unit):
+                every = rng.permutation(every)
+                reach = np.cumsum(self.noise[a:b])
+                for i in range(0, len(every), BATCH):
+                    some = every[i : i + BATCH]
+                    drawn = a + np.searchsorted(reach, rng.random(NOISE) * reach[-1], "right").clip(max=b - a - 1)
+                    word, context = unit[some], self.one[one[some]] + self.two[two[some]]
+                    chance = np.log(NOISE * self.noise)
+                    true = (context * self.out[word]).sum(axis=1) + self.bias[word] - chance[word]
+                    false = context @ self.out[drawn].T + self.bias[drawn] - chance[drawn].astype(np.float32)
+                    pull = (-1 / (1 + np.exp(true.clip(-60, 60)))).astype(np.float32)
+                    push = 1 / (1 + np.exp(-false.clip(-60, 60)))
+                    back = pull[:, None] * self.out[word] + push @ self.out[drawn]
+                    rows = np.r_[word, drawn]
+                    step("out", rows, np.concatenate([pull[:, None] * context, push.T @ context]))
+                    step("bias", rows, np.r_[pull, push.sum(axis=0)])
+                    step("one", one[some], back)
+                    step("two", two[some], back)
+        each = np.repeat(uses, [WIDTH, WIDTH, WIDTH], axis=1)
+        return (self.flat() - before) * np.column_stack([each, uses[:, 2]]), uses
+
+
+def learned(codes: DataFrame, model: WordModel) -> WordModel:
+    """``model`` after PASSES over all rows of ``codes``, its rows averaged over the tasks by their uses."""
+    spark, n = codes.sparkSession, len(model.bias)
+    if n == CLASSES:
+        return model  # no word has vectors of its own
+    for _ in range(PASSES):
+        shared = spark.sparkContext.broadcast(model)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = WordModel.__new__(WordModel)
+            own.__dict__.update(shared.value.__dict__)
+            own.load(shared.value.flat())
+
+            def texts() -> Iterator[tuple[list[bytes], list[bytes]]]:
+                for batch in batches:
+                    some = [batch.column(c).to_pylist() for c in ("codes", "units")]
+                    for i in range(0, len(some[0]), 256):
+                        yield some[0][i : i + 256], some[1][i : i + 256]
+
+            change, uses = own.learn(texts())
+            whole = np.column_stack([change, uses]).astype(np.float32)
+            for i in range(0, n, BLOCK):
+                values = pa.array([whole[i : i + BLOCK].tobytes()], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([i // BLOCK], pa.int32()), values], ["block", "rows"])
+
+        def added(table: pa.Table) -> pa.Table:
+            total = sum(np.frombuffer(x.as_py(), np.float32).astype(float) for x in table.column("rows"))
+            return pa.table({"block": table.column("block")[:1], "rows": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+
+        kind = "block int, rows binary"
+        tasks = codes.select("codes", "units").coalesce(TRAINERS).mapInArrow(run, kind)
+        found = tasks.groupBy("block").applyInArrow(added, kind).toArrow().sort_by("block").column("rows").to_pylist()
+        if found:
+            whole = np.frombuffer(b"".join(found), np.float32).reshape(n, -1)
+            change, uses = whole[:, :-3], np.maximum(whole[:, -3:], 1)
+            each = np.column_stack([np.repeat(uses, WIDTH, axis=1), uses[:, 2]])
+            model.load(model.flat() + change / each)
+    return model
+
+
 def _tokens(codes: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(context, class) of the tokens of some texts; before a text stand two ends."""
     code = np.frombuffer(b"".join(codes), np.uint8).astype(np.int64)
@@ -141,13 +343,14 @@ def trained(counts: np.ndarray, seed: int = 1) -> np.ndarray:
     if len(cells):
         reach = np.cumsum(counts.ravel()[cells], dtype=float)
         means = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in weights.items()}
-        for step in range(1, STEPS + 1):
+        steps = max(STEPS, -(-min(int(counts.sum()), DRAWS * CLASSES**3) // BATCH))
+        for step in range(1, steps + 1):
             cell = cells[np.searchsorted(reach, rng.random(BATCH) * reach[-1], "right").clip(max=len(cells) - 1)]
             context, word = np.divmod(cell, CLASSES)
             far, near = np.divmod(context, CLASSES)
             drawn = rng.choice(CLASSES, NOISE, p=noise)
             slopes = _slopes(weights, far, near, word, drawn, np.log(NOISE * noise))
-            rate = RATE * (1 - step / (STEPS + 1)) ** 0.5
+            rate = RATE * (1 - step / (steps + 1)) ** 0.5
             for k, g in slopes.items():
                 m, v = means[k]
                 m += 0.1 * (g - m)
@@ -188,6 +391,7 @@ def rare_sums(docs: DataFrame, frequent: list[bytes]) -> DataFrame:
 
     Kind 0, per document: the sum of log10(c + 0.1), the tokens with c > 0, all; c is the word's
     count in training texts. Kind 1, per class (id): as ``rows`` the distinct words with c > 0.
+    Kind 2, per word (id) with c >= MIN_COUNT: as ``known`` c.
     A word is known by 56 bits of its hash and its class.
     """
     words = _words(docs.select("doc_id", text_hash().alias("text_hash"), "text"), "doc_id", "text_hash")
@@ -207,8 +411,13 @@ def rare_sums(docs: DataFrame, frequent: list[bytes]) -> DataFrame:
         F.lit(1).alias("kind"), F.col("word").bitwiseAND(F.lit(255)).alias("id"), F.lit(0).cast("long").alias("text_hash"),
         F.lit(0.0).alias("logs"), F.lit(0).cast("long").alias("known"),
     )
+    often = F.struct(
+        F.lit(2).alias("kind"), F.col("word").alias("id"), F.lit(0).cast("long").alias("text_hash"),
+        F.lit(0.0).alias("logs"), F.col("c").alias("known"),
+    )
     first = (F.col("nth") == 1) & (F.col("c") > 0)
-    rows = counted.select(F.inline(F.when(first, F.array(token, word)).otherwise(F.array(token))))
+    with_own = F.when(first & (F.col("c") >= MIN_COUNT), F.array(token, word, often))
+    rows = counted.select(F.inline(with_own.when(first, F.array(token, word)).otherwise(F.array(token))))
     return rows.groupBy("kind", "id", "text_hash").agg(
         F.sum("logs").alias("logs"), F.sum("known").alias("known"), F.count(F.lit(1)).alias("rows")
     )
@@ -219,31 +428,38 @@ class Model:
     log_class: np.ndarray  # (contexts, classes), log10
     tokens: np.ndarray  # training tokens of each class
     types: np.ndarray  # distinct training words of each class
+    words: WordModel
 
     def constants(self):
         n, v = int(self.tokens.sum()), int(self.types.sum())
         base = np.log10(n + ADDED * (v + 1))
         # Frequent words and the end are classes of their own; the others share theirs.
-        inner = np.zeros(CLASSES)
         rare = np.arange(CLASSES) > FREQUENT
-        inner[rare] = np.log10(self.tokens[rare] + ADDED * (self.types[rare] + 1))
         own = np.where(rare, 0.0, np.log10(self.tokens + ADDED))
-        return n, base, inner, own, rare, (self.tokens > 0) & ~rare
+        return n, base, own, rare, (self.tokens > 0) & ~rare
 
 
-def _scorer(model: Model):
+def _scorer(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, base, inner, own, rare, known_class = model.constants()
-        table = model.log_class - inner[None, :]
+        model = shared.value
+        n, base, own, rare, known_class = model.constants()
+        words = model.words
+        # Of a token beyond its class's share: nothing if the word has vectors, whose count is in the
+        # document's sum; otherwise that sum is divided by the rest of the class.
+        less = words.own.copy()
+        less[words.first[:-1]] = words.rest
         for batch in batches:
             if not len(batch):
                 continue
             out = {k: [] for k in ("n_tokens", "n_known", "base_score", "score")}
             logs, known, rows = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("logs", "known", "rows"))
-            texts = batch.column("codes").to_pylist()
+            texts, units = (batch.column(k).to_pylist() for k in ("codes", "units"))
             for i in range(0, len(texts), 256):
                 part = texts[i : i + 256]
                 context, code = _tokens(part)
+                place, unit, one, two = _units(part, units[i : i + 256])
+                inner = np.zeros(len(code))
+                inner[place] = words.log_shares(unit, one, two) - less[unit]
                 sizes = np.fromiter(map(len, part), np.int64, len(part))
                 start = np.cumsum(sizes) - sizes
                 total = lambda x: np.add.reduceat(x, start)
@@ -254,7 +470,7 @@ def _scorer(model: Model):
                 out["n_tokens"].append(sizes)
                 out["n_known"].append(total(known_class[code].astype(np.int64)) + own_known)
                 out["base_score"].append(total(own[code]) + own_logs - sizes * base)
-                out["score"].append(total(table[context, code]) + own_logs)
+                out["score"].append(total(model.log_class[context, code] + inner) + own_logs)
             done = [pa.array(np.concatenate(out[k])) for k in ("n_tokens", "n_known", "base_score", "score")]
             done.insert(2, pa.array(np.full(len(texts), n)))
             yield pa.RecordBatch.from_arrays(
@@ -274,21 +490,26 @@ def scored(docs: DataFrame) -> DataFrame:
     """
     train = docs.filter(~held_out(F.col("doc_id"), FOLDS))
     frequent = frequent_words(train.select("text"))
-    codes = saved(coded(docs, frequent), "codes")
-    counts = triples(codes.filter("NOT held_out"))
     sums = saved(rare_sums(docs, frequent), "rare-words")
+    often = sums.filter("kind = 2").select("id", "known").toArrow()  # the words that the model has vectors of
+    vocabulary = Vocabulary.of(often.column("id").to_pylist(), often.column("known").to_pylist())
+    codes = saved(coded(docs, frequent, vocabulary), "codes")
+    counts = triples(codes.filter("NOT held_out"))
     types = np.zeros(CLASSES, np.int64)
     types[: 1 + FREQUENT] = counts.sum(axis=0)[: 1 + FREQUENT] > 0
     for r in sums.filter("kind = 1").select("id", "rows").collect():  # ENDINGS rows
         types[1 + FREQUENT + r["id"]] = r["rows"]
-    model = Model(trained(counts), counts.sum(axis=0), types)
+    tokens = counts.sum(axis=0)
+    words = learned(codes.filter("NOT held_out"), WordModel(vocabulary, tokens, types))
+    model = Model(trained(counts), tokens, types, words)
     per_doc = sums.filter("kind = 0").select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), "logs", "known", "rows")
     same = codes["doc_id"].eqNullSafe(per_doc["_id"]) & (codes["text_hash"] == per_doc["_hash"])
     joined = codes.join(per_doc, same, "left").select(
-        "doc_id", "held_out", "codes", F.coalesce("logs", F.lit(0.0)).alias("logs"),
+        "doc_id", "held_out", "codes", "units", F.coalesce("logs", F.lit(0.0)).alias("logs"),
         F.coalesce("known", F.lit(0)).cast("long").alias("known"), F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
     )
-    return joined.mapInArrow(_scorer(model), OUT.format(id=joined.schema["doc_id"].dataType.simpleString()))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return joined.mapInArrow(_scorer(shared), OUT.format(id=joined.schema["doc_id"].dataType.simpleString()))
 
 
 def op2_log_bilinear_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -132,3 +132,38 @@ def test_tokens_at_text_borders():
     k = lm.CLASSES
     assert code.tolist() == [5, 6, 0, 0, 7, 0]
     assert context.tolist() == [0, 5, 5 * k + 6, 0, 0, 7]
+
+
+def test_probabilities_of_words_with_vectors_add_up(spark, short, monkeypatch):
+    monkeypatch.setattr(lm, "MIN_COUNT", 20)
+    monkeypatch.setattr(lm, "WORD_RATE", 0.5)
+    test_probabilities_add_up(spark, short)
+
+
+def test_context_tells_words_of_one_class_apart(spark, short, monkeypatch):
+    """Two words of one ending class, equally frequent, each after its own kind of word."""
+    monkeypatch.setattr(lm, "MIN_COUNT", 50)
+    rng = random.Random(4)
+    common = [f"{a}{b}" for a in "bcdfghjklmnp" for b in "aeiou"] + ["qa", "qe", "qi"]
+    beginnings, ends = ["ustart", "vstart"], ["redend", "blueend"]  # one class of endings each
+    docs = []
+    for i in range(1500):
+        words = []
+        for k in range(20):
+            words += rng.choices(common, k=4) + ([beginnings[k % 2], ends[k % 2]] if k < 4 else [])
+        docs.append((i, " ".join(words)))
+    held = [i for i in range(5_000, 9_000) if not train(i)][:4]
+    probes = [(h, f"ba ba {b} {e} ba") for h, (b, e) in zip(held, [(b, e) for b in beginnings for e in ends])]
+    got = {r.doc_id: r for r in lm.scored(spark.createDataFrame(docs + probes, SCHEMA)).collect()}
+    same, other = [got[held[0]], got[held[3]]], [got[held[1]], got[held[2]]]
+    assert sum(r.base_score for r in same) == pytest.approx(sum(r.base_score for r in other))
+    assert sum(r.score for r in same) > sum(r.score for r in other) + 1
+
+
+def test_units_by_class():
+    names = [5 << 8 | 3, -(7 << 8) | 3, 9 << 8 | 0]
+    v = lm.Vocabulary.of(names, [10, 20, 30])
+    k = 1 + lm.FREQUENT
+    assert v.first[:5].tolist() == [k, k + 2, k + 3, k + 4, k + 7] and v.first[-1] == lm.CLASSES + 3
+    assert dict(zip(v.names.tolist(), v.units.tolist())) == {names[1]: k + 5, names[0]: k + 6, names[2]: k + 1}
+    assert v.counts[[k + 5, k + 6, k + 1]].tolist() == [20, 10, 30]
