@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from rentrank.llm import chat_format, decontamination, token_rollup, url_filter
+from rentrank.llm import chat_format, collocations, decontamination, merkle_manifest, token_rollup, url_filter
 from rentrank.llm.chat_format import op5_perspective_rotation
+from rentrank.llm.collocations import op13_phrase_collocations
 from rentrank.llm.decontamination import op6_benchmark_decontamination
 from rentrank.llm.language_model import op2_log_bilinear_scoring
+from rentrank.llm.merkle_manifest import op11_merkle_manifest
 from rentrank.llm.packing import op9_packing
 from rentrank.llm.sharding import op4_feistel_sharding
 from rentrank.llm.simhash import op10_simhash_near_dedup
@@ -25,6 +27,8 @@ QUERIES = {
     "op8_weighted_sampling": op8_weighted_sampling,
     "op9_packing": op9_packing,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 ORACLES: dict[str, str] = {
@@ -32,4 +36,6 @@ ORACLES: dict[str, str] = {
     "op5_perspective_rotation": chat_format.ORACLE,
     "op6_benchmark_decontamination": decontamination.ORACLE,
     "op7_token_rollup": token_rollup.ORACLE,
+    "op11_merkle_manifest": merkle_manifest.ORACLE,
+    "op13_phrase_collocations": collocations.ORACLE,
 }
