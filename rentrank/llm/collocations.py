@@ -36,7 +36,7 @@ NO_LANG = "und"
 #: The cells are a bit each when they are sent to the tasks: 32 MB, whatever the corpus.
 CELL_BITS = 28
 #: Bytes of text that a task reads at once.
-STRETCH = 1 << 22
+STRETCH = 1 << 20
 
 W = [f"w{i}" for i in range(LONGEST)]
 
