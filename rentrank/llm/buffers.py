@@ -15,7 +15,7 @@ INVERSE = pow(BASE, -1, 1 << 64)
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets): row i is bytes[offsets[i] : offsets[i + 1]]; NULL is empty."""
     column = column.fill_null("") if column.null_count else column
-    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    kind = np.int64 if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type) else np.int32
     _, places, data = column.buffers()
     offsets = np.frombuffer(places, kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     if data is None or not len(column):

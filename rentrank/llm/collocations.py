@@ -270,8 +270,8 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     best = saved(uncovered(scored(found)), "collocations")
     words = _texts(docs).mapInArrow(_speller(cells), "h long, word string")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = spelt(best, words).withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top)
-    return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"))
+    ranked = spelt(best, words).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"))
 
 
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from rentrank.llm.merkle_manifest import op11_merkle_manifest
 from rentrank.llm.packing import op9_packing
 from rentrank.llm.sharding import op4_feistel_sharding
 from rentrank.llm.simhash import op10_simhash_near_dedup
+from rentrank.llm.suffix_dedup import op12_suffix_array_dedup
 from rentrank.llm.token_rollup import op7_token_rollup
 from rentrank.llm.toxicity import op1_kneser_ney_toxicity
 from rentrank.llm.url_filter import op3_url_filter
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_suffix_array_dedup": op12_suffix_array_dedup,
     "op13_phrase_collocations": op13_phrase_collocations,
 }
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,21 @@ def saved(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def bucketed(frame: DataFrame, purpose: str, *keys: str, compression: str = "snappy") -> DataFrame:
+    """``frame`` written in as many buckets by ``keys`` as there are shuffle partitions.
+
+    Joins and groups by ``keys`` need no shuffle of it. Buckets need a table name; it goes again
+    at once, the files (in the shared folder) stay.
+    """
+    spark = frame.sparkSession
+    name, path = f"{purpose}_{uuid.uuid4().hex}", work_dir(spark, purpose)
+    writer = frame.write.bucketBy(partitions(spark), *keys).option("path", path).option("compression", compression)
+    writer.saveAsTable(name)
+    opened = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return opened
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

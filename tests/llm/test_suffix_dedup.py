@@ -1,0 +1,180 @@
+"""Removed bytes against all 400-byte strings counted one by one."""
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from rentrank.llm import suffix_dedup as m
+from rentrank.llm import suffix_index as index
+
+
+def plain(rows, size=400):
+    texts = [(t or "").encode() for _, t in rows]
+    seen = Counter(b[p : p + size] for b in texts for p in range(len(b) - size + 1))
+    out = []
+    for (doc, _), b in zip(rows, texts):
+        gone, reach = bytearray(len(b)), 0
+        for p in range(len(b) - size + 1):
+            if seen[b[p : p + size]] > 1:
+                for q in range(max(p, reach), p + size):
+                    gone[q] = 1
+                reach = p + size
+        spans = sum(1 for q in range(len(b)) if gone[q] and (q == 0 or not gone[q - 1]))
+        kept = bytes(x for x, g in zip(b, gone) if not g)
+        out.append((doc, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def run(spark, rows, names="", **parameters):
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for name in names.split():
+        frame = frame.withColumn(name, F.lit("x"))
+    found = m.deduplicated(frame, **parameters).collect()
+    texts = {(r.doc_id, r.kept_sha256) for r in found}
+    for doc, text in rows:  # the spans are those of the text
+        b = (text or "").encode()
+        ok = False
+        for r in found:
+            if r.doc_id == doc and r.n_bytes == len(b):
+                left = [0, *r.ends], [*r.starts, len(b)]
+                ok |= (doc, hashlib.sha256(b"".join(b[x:y] for x, y in zip(*left))).hexdigest()) in texts
+        assert ok
+    return sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found), key=repr)
+
+
+def letters(rng, n, alphabet="abcdefghij klmnoé"):
+    return "".join(rng.choice(alphabet) for _ in range(n))
+
+
+def edited_copies(seed, n=60):
+    """Texts that share passages of about the size of a match, with changes in and around them."""
+    rng = random.Random(seed)
+    pool = [letters(rng, rng.choice([380, 399, 400, 401, 450, 900, 2500])) for _ in range(6)]
+    rows = []
+    for i in range(n):
+        parts = []
+        for _ in range(rng.randint(0, 4)):
+            part = rng.choice(pool)
+            a = rng.choice([0, 0, 1, rng.randint(0, len(part) // 2)])
+            part = part[a : len(part) - rng.choice([0, 0, 1, rng.randint(0, len(part) // 4)])]
+            if rng.random() < 0.4 and part:
+                at = rng.randrange(len(part))
+                part = part[:at] + "#" + part[at + 1 :]
+            parts.append(part)
+            parts.append(letters(rng, rng.choice([0, 1, 5, 300])))
+        rows.append((i, "".join(parts)))
+    return rows
+
+
+@pytest.mark.parametrize("seed, batches", [(0, 1), (1, 2), (2, 5)])
+def test_against_all_strings(spark, seed, batches):
+    rows = edited_copies(seed)
+    want = plain(rows)
+    assert any(0 < r[2] < r[1] for r in want)
+    names = "id copies n_bytes sha g rest pos m keep found edge part p n whole key body around _other"
+    assert run(spark, rows, names, batches=batches) == want
+
+
+def test_a_crowd_of_surroundings_is_compared_across_tasks(spark, monkeypatch):
+    rng = random.Random(5)
+    passage = letters(rng, 390)
+    rows = [(i, letters(rng, 300) + rng.choice("xyz") * 12 + passage + letters(rng, 200)) for i in range(40)]
+    want = plain(rows)
+    assert any(r[2] for r in want) and run(spark, rows) == want
+    monkeypatch.setattr(m, "CROWD", 1)
+    assert run(spark, rows) == want
+
+
+def test_repetitive_texts(spark):
+    rng = random.Random(9)
+    line = letters(rng, 37)
+    rows = [
+        (1, "a" * 400), (2, "a" * 399), (3, "ab" * 700), (4, "b" + "ab" * 250), (5, line * 30), (6, "x" + line * 14 + "y"),
+        (7, "a" * 5000 + letters(rng, 50) + "a" * 401), (8, "é" * 300), (9, "z" + "é" * 199 + "z"), (10, letters(rng, 10) + "a" * 400),
+    ]
+    assert run(spark, rows) == plain(rows)
+
+
+def test_nulls_short_texts_copies_and_empty_tables(spark):
+    rng = random.Random(3)
+    long, short = letters(rng, 1000), letters(rng, 399)
+    rows = [
+        (None, None), (1, None), (2, ""), (3, short), (4, short), (5, long), (5, long), (None, long),
+        (6, "p" + long[100:600] + "q"), (7, letters(rng, 2000)),
+    ]
+    assert run(spark, rows) == plain(rows)
+    assert run(spark, []) == [] and run(spark, [(1, "")]) == plain([(1, "")])
+
+
+def batch(texts, **more):
+    return pa.RecordBatch.from_pydict({"id": pa.array(range(len(texts)), pa.int64()), "text": texts, **more})
+
+
+def test_long_texts_are_handled_in_parts_with_the_same_result(monkeypatch):
+    rng = random.Random(4)
+    block = letters(rng, 3000, "abcd ")
+    texts = [block[:700] + letters(rng, 9000) + block, letters(rng, 500), "a" * 4000 + block[200:1500], letters(rng, 450) + "é" * 600]
+
+    def suffixes():
+        return sorted(zip(*[sum((b.column(c).to_pylist() for b in index._suffixes([batch(texts)])), []) for c in index.ORDER]))
+
+    def starts():
+        """All places where a match is possible, and those where it is sure, with every suffix a find."""
+        where = {}
+        for g, _, i, p in once:
+            where.setdefault(i, []).append(p)
+        pos = [where.get(i, []) for i in range(len(texts))]
+        m_ = [[index.WHOLE if p % 3 else 2 for p in x] for x in pos]
+        rows = batch(texts, pos=pa.array(pos, pa.list_(pa.int32())), m=pa.array(m_, pa.list_(pa.int8())))
+        out = set()
+        for b in m._ranges([rows]):
+            for r in b.to_pylist():
+                out |= {(r["id"], r["p"] + k, r["key"] is None) for k in range(r["n"])}
+        return out
+
+    once = suffixes()
+    sure = starts()
+    monkeypatch.setattr(index, "STRETCH", 1000)
+    assert suffixes() == once and starts() == sure
+
+
+def test_anchors_of_equal_strings_are_equal():
+    rng = random.Random(8)
+    common = letters(rng, 400, "ab")
+    found = []
+    for _ in range(20):
+        left = letters(rng, rng.randint(0, 500), "ab")
+        data = np.frombuffer((left + common + letters(rng, rng.randint(0, 500), "ab")).encode(), np.uint8)
+        anchors = index.Anchors(data, np.array([0, len(data)]))
+        found.append((int(anchors.of_run[len(left)]) - len(left), int(anchors.of_run[len(left) + 400 - index.SPAN]) - len(left)))
+    assert len(set(found)) == 1
+
+
+def test_levels_double(spark):
+    rng = random.Random(1)
+    family = index.Family(spark)
+    texts = [spark.createDataFrame([(k, letters(rng, 5000))], "id long, text string") for k in range(7)]
+    sizes = []
+    for one in texts:
+        family.add(index.suffixes(one))
+        sizes.append(sorted(family.levels))
+    assert sizes == [[0], [1], [0, 1], [2], [0, 2], [1, 2], [0, 1, 2]]
+    rows = [r for level in family.levels.values() for r in level.collect()]
+    every = [r for one in texts for r in index.suffixes(one).collect()]
+    assert sorted((r.g, r.rest, r.id, r.pos) for r in rows) == sorted(tuple(r) for r in every)
+    assert family.found().count() == 0
+    family.add(index.suffixes(texts[2].withColumn("id", F.lit(99).cast("long"))))
+    both = {(r.id, r.pos, r.m) for r in family.found().collect()}
+    assert {i for i, _, _ in both} == {2, 99} and len(both) == 2 * len([r for r in every if r.id == 2])
+
+
+def test_registered_query(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    got = m.op12_suffix_array_dedup(spark, "/root/testdata/sf0.001")
+    assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == plain([tuple(r) for r in docs.collect()])
