@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rentrank.functions.text import clean_string, float_text, integer_text
+from rentrank.operators.membership import of_batch
 from rentrank.operators.skew import lookup_join
 from rentrank.settings import DIRECT_LINE_STATIONS
 
@@ -56,15 +57,19 @@ def commute_times(
     responses: DataFrame | None,
     anchors: tuple[int, ...] = (1, 2),
     measure: DataFrame | None = None,
+    batch: DataFrame | None = None,
 ) -> DataFrame:
     """Attach ``location_1`` and ``location_2``; NULL where commutes are off or unknown.
 
-    Listings without coordinates are never asked about, so they keep NULL.
+    Listings without coordinates are never asked about, so they keep NULL. Given ``batch``, the
+    ids of ``df`` as a written table, replies to others are left out before their JSON is read.
     """
     empty = {"location_1": "string", "location_2": "string"}
     empty |= {"location_1_mins": "int", "location_2_mins": "int"}
     if responses is None or not anchors:
         return df.withColumns({name: F.lit(None).cast(kind) for name, kind in empty.items()})
+    if batch is not None:
+        responses = of_batch(responses, batch, "id")
     joined = lookup_join(df, commute_columns(responses, anchors), "id", "left", measure)
     has_place = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
     columns = {}
@@ -92,6 +97,7 @@ def enrich(
     commute_enabled: bool = True,
     anchors: tuple[int, ...] = (1, 2),
     measure: DataFrame | None = None,
+    batch: DataFrame | None = None,
 ) -> DataFrame:
     has_place = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
     df = df.withColumns(
@@ -103,4 +109,4 @@ def enrich(
             ),
         }
     )
-    return commute_times(df, responses if commute_enabled else None, anchors, measure)
+    return commute_times(df, responses if commute_enabled else None, anchors, measure, batch)

@@ -132,3 +132,6 @@ EXTRACT_SCHEMA = T.StructType(
         T.StructField("longitude", T.DoubleType()),
     ]
 )
+
+#: The latest flags of pages: time and flags in one number (``operators.live``).
+FLAGS_SCHEMA = T.StructType([T.StructField("url", T.StringType()), T.StructField("p", T.LongType())])
