@@ -14,6 +14,9 @@ SLICE = "_slice"
 # A key is hot if it fills more than this many average shuffle partitions, so there can be at
 # most partitions / HOT_FILL such keys, whatever the data size.
 HOT_FILL = 2
+# ... and no fewer rows than these: a slice of less is not worth a task, so a batch that is small
+# against the number of partitions has no hot keys.
+LEAST_ROWS = 32
 # Items the frequency sketch tracks per shuffle partition, which keeps its error far below one
 # partition's share; and the most it can track at all.
 TRACKED_PER_PARTITION = 50
@@ -40,35 +43,39 @@ def hot_keys(frame: DataFrame, key: str, partitions: int | None = None) -> dict:
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col(key).isNull()).alias("nulls"),
     ).first()
-    average = found["total"] / n
+    average = max(found["total"] / n, LEAST_ROWS / HOT_FILL)
     counts = {r["item"]: r["count"] for r in found["top"] or [] if r["item"] is not None}
     counts[None] = found["nulls"]
-    return {k: -int(-c // average) for k, c in counts.items() if average and c >= HOT_FILL * average}
+    return {k: -int(-c // average) for k, c in counts.items() if c >= HOT_FILL * average}
 
 
-def _slices(key: Column, hot: dict, kind: str) -> Column:
-    """The number of slices of a row's key: a look-up in a literal map, 1 if it is not hot."""
-    named = {k: n for k, n in hot.items() if k is not None}
-    none = F.lit(hot.get(None, 1))
-    if not named:
-        return F.when(key.isNull(), none).otherwise(F.lit(1))
-    entries = [F.lit(x) for k, n in named.items() for x in (k, n)]
-    table = F.create_map(*entries).cast(f"map<{kind},int>")
-    return F.when(key.isNull(), none).otherwise(F.coalesce(F.try_element_at(table, key), F.lit(1)))
+def _with_slices(frame: DataFrame, key: str, hot: dict) -> DataFrame:
+    """``frame`` with ``_many``, the slices of its key: a hash look-up in the short list of hot keys."""
+    kind = frame.schema[key].dataType.simpleString()
+    named = frame.sparkSession.createDataFrame(list(hot.items()), f"_hot {kind}, _many int")
+    found = frame.join(F.broadcast(named), F.col(key).eqNullSafe(F.col("_hot")), "left").drop("_hot")
+    return found.withColumn("_many", F.coalesce("_many", F.lit(1)))
+
+
+def _content(frame: DataFrame) -> Column:
+    """A hash of a row, by all columns that have one."""
+    plain = [f.name for f in frame.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.xxhash64(*plain)
 
 
 def spread_hot_keys(left: DataFrame, right: DataFrame, key: str, hot: dict) -> tuple[DataFrame, DataFrame]:
     """Both sides with a slice column, to be joined on ``[key, SLICE]``.
 
-    Rows of a hot key go to the slice of the task they are in (stable when a task is re-run, and
-    spread even if the rows are exact copies). ``right`` must be unique on ``key``: its row for a
-    hot key is repeated once per slice.
+    Rows of a hot key go to slices by their partition and their content, so they are spread if they
+    lie in one partition (as after an earlier join by the same key) and if they are copies that lie
+    in several; neither changes when a task is re-run. Exact copies in one partition stay together.
+    ``right`` must be unique on ``key``: its row for a hot key is repeated once per slice.
     """
-    kind = left.schema[key].dataType.simpleString()
-    many = _slices(F.col(key), hot, kind)
-    left = left.withColumn(SLICE, F.pmod(F.spark_partition_id(), many))
-    right = right.withColumn(SLICE, F.explode(F.sequence(F.lit(0), many - 1)))
-    return left, right
+    salted = left.withColumns({"_content": _content(left), "_task": F.spark_partition_id()})
+    turn = F.pmod(F.pmod("_content", "_many") + F.col("_task"), "_many")
+    left = _with_slices(salted, key, hot).withColumn(SLICE, turn.cast("int")).drop("_content", "_task", "_many")
+    right = _with_slices(right, key, hot)
+    return left, right.withColumn(SLICE, F.explode(F.sequence(F.lit(0), F.col("_many") - 1))).drop("_many")
 
 
 def lookup_join(

@@ -243,7 +243,8 @@ def incremental_ingest(spark, sf_dir):
     tables.append_to_curation(D.curation(spark, sf_dir), lists)
     half = -(-D.tasks(spark) // 2)  # rendering writes a file per task
     stream = tables.stream_parquet(spark, landing, pages.schema, files_per_batch=half)
-    responses = D.commute_responses(spark, sf_dir)
+    tables.store_commute_responses(D.commute_responses(spark, sf_dir), f"{base}/commutes")
+    responses = tables.scan_commute_responses(spark, f"{base}/commutes")
     streaming.incremental_ingest(
         stream, listings, lists, f"{base}/checkpoint", CONFIG, responses, f"{base}/rejects", 2
     ).awaitTermination()
@@ -286,12 +287,12 @@ def status_stream(spark, sf_dir):
 def daily_inputs(spark, sf_dir) -> RunPaths:
     """The tables that a run reads, written from the derived ones."""
     base = work_dir(spark, "daily")
-    names = ("listings", "curation", "export", "markers", "pages", "results", "snapshots", "commutes", "rejects")
+    names = ("listings", "curation", "export", "markers", "pages", "results", "snapshots", "commutes", "rejects", "flags")
     paths = RunPaths(*[f"{base}/{n}" for n in names])
-    D.render_pages(D.listings_raw(spark, sf_dir)).write.parquet(paths.listing_pages)
+    tables.store_pages(D.render_pages(D.listings_raw(spark, sf_dir)), paths.listing_pages, CONFIG.domain)
     D.result_pages(spark, sf_dir).write.parquet(paths.result_pages)
     D.snapshot_pages(spark, sf_dir).write.parquet(paths.snapshots)
-    D.commute_responses(spark, sf_dir).write.parquet(paths.commute_responses)
+    tables.store_commute_responses(D.commute_responses(spark, sf_dir), paths.commute_responses)
     tables.append_to_curation(D.curation(spark, sf_dir), paths.curation)
     updates = D.status_updates(D.table(spark, sf_dir, "events"))
     blank = F.lit(None).cast("string")
