@@ -8,15 +8,17 @@ estimation on the counts of all class triples of the training texts, a table of
 CLASSES ** 3 numbers however large the corpus. As there are only CLASSES ** 2 contexts, one batched
 matrix product gives the normalised log-probabilities of every class in every context.
 
-Within a class of rare words a second log-bilinear model, of words, tells them apart. Every word
-with MIN_COUNT training tokens has its own vectors, so their number grows with the corpus; all
-others of a class share theirs. The two words before the token add up to the context. It is trained
+Within a class of rare words a second log-bilinear model, of words, tells them apart. The OWN most
+frequent words have their own vectors, the others of a class share theirs, so the model has a bound
+and a normalised token a bounded price, whatever the corpus. The two words before the token add up to the context. It is trained
 by noise-contrastive estimation on all training tokens of these classes, in mini-batches inside
 Spark's tasks, whose parameters are averaged after each pass. Scores are normalised over the class.
 It starts as the unigram model: a word's share of the class's tokens in all training texts, smoothed
 by 0.1 per word and 0.1 for words not seen. By this share the words without vectors of their own
-divide what the class's shared vector gets. Tokens of rare words are dealt out by word; only sums
-per document, and the counts of the words with vectors, come back.
+divide what the class's shared vector gets.
+
+Words are counted where they lie and the counts added up. The counts of the COUNTED most frequent
+ones go to all tasks; only tokens of other words, none of them frequent, are dealt out by word.
 """
 
 from __future__ import annotations
@@ -26,13 +28,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rentrank.llm.buffers import Hasher, mixed, stretches, utf8
 from rentrank.llm.store import partitions, saved, table, text_hash
-from rentrank.llm.text import lowered
+from rentrank.llm.text import UPPER
 from rentrank.llm.toxicity import held_out
 
 FOLDS = 10
@@ -42,122 +43,207 @@ ENDINGS = 32
 CLASSES = 1 + FREQUENT + ENDINGS
 ENDING_BYTES = 2
 ADDED = 0.1
-#: Words that the search for frequent ones keeps count of; see approx_top_k.
-TRACKED = 5_000
+#: Words whose counts all tasks know, at most (12 MB); steps of the search for their least count.
+COUNTED, PER_DOUBLING = 1 << 20, 4
 #: The neural model.
 WIDTH, BATCH, NOISE, STEPS, RATE = 32, 1024, 64, 3_000, 0.02
 #: Draws from the triple table, which holds all tokens, follow their number up to so many per cell.
 DRAWS = 10
-#: The model of words: tokens that a word needs for vectors of its own, passes, step, tasks, rows sent together.
-MIN_COUNT, PASSES, WORD_RATE, TRAINERS, BLOCK = 1_000, 1, 0.05, 128, 256
-#: Words that a worker remembers before it begins anew.
-REMEMBERED = 300_000
+#: The model of words: words with vectors of their own (at most; 97 numbers each), passes, tokens and
+#: noise words of a step, its rate, rows sent together.
+OWN, PASSES, WORD_BATCH, WORD_NOISE, WORD_RATE, BLOCK = 1 << 13, 1, 4096, 24, 0.05, 32
+#: Bytes of text that a task reads at once.
+STRETCH = 1 << 20
 
-SPACE = "[\\x09-\\x0D\\x20]+"
-CODES = "doc_id {id}, text_hash long, held_out boolean, codes binary, units binary"
+CODES = "doc_id {id}, text_hash long, held_out boolean, codes binary, units binary, logs double, known long, tail binary"
 OUT = (
     "doc_id {id}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 )
 
-
-def _words(texts: DataFrame, *keep: str) -> DataFrame:
-    pieces = F.split(F.coalesce("text", F.lit("")), SPACE)
-    spread = texts.select(*keep, F.explode(pieces).alias("_raw")).filter("_raw <> ''")
-    return spread.select(*keep, lowered(F.col("_raw")).alias("_word"))
+_BLANK = np.zeros(256, bool)
+_BLANK[[*range(9, 14), 32]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[list(UPPER.encode())] += 32
 
 
-def frequent_words(train: DataFrame) -> list[bytes]:
-    """About the FREQUENT most frequent words; which ones exactly only shapes the classes."""
-    sketch = F.expr(f"approx_top_k(_word, {FREQUENT}, {TRACKED})")
-    top = _words(train).agg(sketch.alias("top")).first()["top"]
-    return sorted(r["item"].encode() for r in top or [])
+def _ending_classes(ending: np.ndarray) -> np.ndarray:
+    return (mixed(ending.astype(np.uint64) + np.uint64(1)) % np.uint64(ENDINGS)).astype(np.int64)
 
 
 def _ending_class(ending: bytes) -> int:
-    return xxhash.xxh64_intdigest(ending, 42) % ENDINGS
-
-
-def _ending_column(word: str) -> Column:
-    """The same in Spark, whose xxhash64 has the seed 42."""
-    raw = F.col(word).cast("binary")
-    return F.pmod(F.xxhash64(F.substring(raw, -ENDING_BYTES, ENDING_BYTES)), F.lit(ENDINGS))
+    return int(_ending_classes(np.array([int.from_bytes(ending[-ENDING_BYTES:], "big")]))[0])
+
+
+def _tokens_of(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(hash, class of the ending, row) of the words of stretches of a text column."""
+    raw, offsets = utf8(column)
+    for start, end in stretches(offsets, STRETCH, np.flatnonzero(_BLANK[raw])):
+        data = _LOWER[raw[start:end]]
+        inside = ~_BLANK[data]
+        edges = offsets[(offsets >= start) & (offsets < end)] - start
+        first, last = inside.copy(), inside.copy()
+        first[1:] &= ~inside[:-1]
+        last[:-1] &= ~inside[1:]
+        first[edges] |= inside[edges]
+        before = edges[edges > 0] - 1
+        last[before] |= inside[before]
+        begin, stop = np.flatnonzero(first), np.flatnonzero(last) + 1
+        final = data[stop - 1].astype(np.int64)
+        ending = np.where(stop - begin > 1, data[np.maximum(stop - 2, 0)].astype(np.int64) << 8, 0) + final
+        row = np.searchsorted(offsets, begin + start, "right") - 1
+        yield Hasher(data).of(begin, stop).view(np.int64), _ending_classes(ending), row
+
+
+def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for word, kind, _ in _tokens_of(batch.column("text")):
+            found, at, n = np.unique(word, return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(kind[at].astype(np.int32)), pa.array(n)], ["word", "kind", "c"])
+
+
+def word_counts(train: DataFrame) -> DataFrame:
+    """word (64-bit hash), kind (class of its ending), c: all words of the training texts; written."""
+    counted = train.select("text").mapInArrow(_counter, "word long, kind int, c long")
+    return saved(counted.groupBy("word").agg(F.min("kind").alias("kind"), F.sum("c").alias("c")), "words")
+
+
+def most_frequent(counts: DataFrame, most: int = 0) -> pa.Table:
+    """The words from a least count on that leaves no more than ``most`` (COUNTED) of them.
+
+    Counts are looked at in steps of a quarter of a doubling; a few hundred numbers reach the driver.
+    """
+    step = F.floor(F.log2("c") * PER_DOUBLING).cast("int").alias("step")
+    sizes = counts.groupBy(step).count().orderBy(F.desc("step")).collect()
+    total, least = 0, None
+    for r in sizes:
+        total += r["count"]
+        if total > (most or COUNTED):
+            break
+        least = r["step"]
+    if least is None:
+        return counts.limit(0).toArrow()
+    return counts.filter(F.floor(F.log2("c") * PER_DOUBLING) >= least).toArrow()
 
 
 @dataclass
 class Vocabulary:
-    """Units of the model of words: frequent words and the end, then of each other class its shared one and its words."""
+    """What all tasks know of words: the classes of frequent ones, the units and the counts.
 
+    Units are the frequent words and the end (their classes), then of each other class its shared
+    one and its words.
+    """
+
+    words: np.ndarray  # sorted hashes
+    counts: np.ndarray  # training tokens
+    codes: np.ndarray  # class: 1 to FREQUENT, or that of the ending
+    units: np.ndarray
     first: np.ndarray  # the shared unit of each class; one entry more, the number of units
-    names: np.ndarray  # sorted: 56 bits of the words' hashes and their class; see rare_sums
-    units: np.ndarray  # theirs
-    counts: np.ndarray  # training tokens by unit, of the words alone
+    unit_counts: np.ndarray  # training tokens by unit, of the words alone
 
     @staticmethod
-    def of(names: list[int], counts: list[int]) -> Vocabulary:
-        found = np.array(names, np.int64)
-        order = np.argsort(found)
-        found, kind = found[order], found[order] & 255
-        first = 1 + FREQUENT + np.arange(ENDINGS + 1) + np.searchsorted(np.sort(kind), np.arange(ENDINGS + 1))
-        place = np.empty(len(found), np.int64)
-        by_kind = np.argsort(kind, kind="stable")
-        place[by_kind] = np.arange(len(found)) + kind[by_kind] + 2 + FREQUENT
+    def of(words: np.ndarray, kinds: np.ndarray, counts: np.ndarray) -> Vocabulary:
+        order = np.argsort(words)
+        words, kinds, counts = (np.asarray(x, np.int64)[order] for x in (words, kinds, counts))
+        rank = np.empty(len(words), np.int64)
+        rank[np.lexsort([words, -counts])] = np.arange(len(words))
+        codes = np.where(rank < FREQUENT, 1 + rank, 1 + FREQUENT + kinds)
+        own = (rank >= FREQUENT) & (rank < FREQUENT + OWN)
+        sizes = np.bincount(kinds[own], minlength=ENDINGS)
+        first = 1 + FREQUENT + np.r_[0, np.cumsum(1 + sizes)]
+        units = np.where(rank < FREQUENT, codes, first[kinds])
+        place = np.flatnonzero(own)
+        place = place[np.argsort(kinds[place], kind="stable")]
+        units[place] = first[kinds[place]] + 1 + np.arange(len(place)) - (np.cumsum(sizes) - sizes)[kinds[place]]
         known = np.zeros(first[-1])
-        known[place] = np.array(counts, float)[order]
-        return Vocabulary(first, found, place, known)
+        known[units[place]] = counts[place]
+        return Vocabulary(words, counts, codes, units, first, known)
 
 
-def coded(docs: DataFrame, frequent: list[bytes], vocabulary: Vocabulary | None = None) -> DataFrame:
-    """doc_id, text_hash, held_out, the class of each token, the end included, one byte each, and the
-    unit of each token of a class of rare words: all first bytes (the lowest), all second ones and so on."""
-    known = {w: i + 1 for i, w in enumerate(frequent)}
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary or Vocabulary.of([], []))
+def coded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """doc_id, text_hash, held_out, and what is known of each text before its tail is counted.
+
+    ``codes``: the class of each token, the end included, a byte each. ``units``: of each token of a
+    class of rare words, two bytes each. ``logs``, ``known``: over the counted ones of the latter,
+    the sum of log10(c + 0.1) and the number with c > 0. ``tail``: the hashes of the others.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        unit_of = dict(zip(own.names.tolist(), own.units.tolist()))
-        endings: dict[bytes, int] = {}
-        met: dict[bytes, int] = {}
-
-        def rare(word: bytes) -> int:
-            end = word[-ENDING_BYTES:]
-            if end not in endings:
-                endings[end] = 1 + FREQUENT + _ending_class(end)
-            return endings[end]
-
-        def unit(word: bytes) -> int:
-            kind = rare(word) - 1 - FREQUENT
-            name = xxhash.xxh64_intdigest(word, 42) & ~255 | kind
-            if len(met) >= REMEMBERED:
-                met.clear()
-            met[word] = found = unit_of.get(name - (1 << 64) if name >> 63 else name) or int(own.first[kind])
-            return found
+        logs_of = np.log10(own.counts + ADDED)
+
+        def parts(word, kind):
+            """(class, unit, log10(c + 0.1), is it counted) of tokens."""
+            found, at, back = np.unique(word, return_index=True, return_inverse=True)
+            place = np.searchsorted(own.words, found).clip(max=max(len(own.words) - 1, 0))
+            met = own.words[place] == found if len(own.words) else np.zeros(len(found), bool)
+            rest = kind[at]
+            code, unit, logs = 1 + FREQUENT + rest, own.first[rest], np.zeros(len(found))
+            code[met], unit[met], logs[met] = own.codes[place[met]], own.units[place[met]], logs_of[place[met]]
+            return code.astype(np.uint8)[back], unit.astype("<u2")[back], logs[back], met[back]
 
         for batch in batches:
-            codes, units = [], []
-            for text in batch.column("text").to_pylist():
-                words = (text or "").encode().lower().split()  # bytes: A-Z and ASCII white space only
-                codes.append(bytes([known.get(w) or rare(w) for w in words]) + b"\0")
-                several = np.array([met.get(w) or unit(w) for w in words if w not in known], "<u4")
-                units.append(several.view(np.uint8).reshape(-1, 4).T.tobytes())
+            n = len(batch)
+            found = [(word, row, *parts(word, kind)) for word, kind, row in _tokens_of(batch.column("text"))]
+            empty = [np.empty(0, k) for k in (np.int64, np.int64, np.uint8, "<u2", float, bool)]
+            word, row, code, unit, logs, met = (np.concatenate(x) for x in zip(empty, *found))
+            every = np.zeros(len(code) + n, np.uint8)
+            every[np.arange(len(code)) + row] = code
+            rare = code > FREQUENT
+            tail = rare & ~met
+
+            def lists(of: np.ndarray, mark: np.ndarray, more: int = 0) -> pa.Array:
+                ends = np.cumsum(np.bincount(row[mark], minlength=n) + more) * of.itemsize
+                return pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(np.r_[0, ends].astype(np.int64)), pa.py_buffer(of)]).cast(pa.binary())
+
             columns = [batch.column(c) for c in ("doc_id", "text_hash", "held_out")]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(codes, pa.binary()), pa.array(units, pa.binary())],
-                ["doc_id", "text_hash", "held_out", "codes", "units"],
-            )
+            columns += [lists(every, np.ones(len(code), bool), 1), lists(unit[rare], rare)]
+            columns += [pa.array(np.bincount(row[rare], logs[rare], n)), pa.array(np.bincount(row[rare & met], minlength=n)), lists(word[tail], tail)]
+            names = ["doc_id", "text_hash", "held_out", "codes", "units", "logs", "known", "tail"]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     chosen = docs.select("doc_id", text_hash().alias("text_hash"), held_out(F.col("doc_id"), FOLDS).alias("held_out"), "text")
     return chosen.mapInArrow(run, CODES.format(id=chosen.schema["doc_id"].dataType.simpleString()))
 
 
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """id, text_hash, word, times: the tail of each text, each word once."""
+    for batch in batches:
+        tails = [np.frombuffer(t, np.int64) for t in batch.column("tail").to_pylist()]
+        row = np.repeat(np.arange(len(tails)), [len(t) for t in tails])
+        word = np.concatenate([np.empty(0, np.int64), *tails])
+        order = np.lexsort([word, row])
+        row, word = row[order], word[order]
+        new = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (word[1:] != word[:-1])][: len(row)])
+        times = np.diff(np.r_[new, len(row)])
+        ids, hashes = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "text_hash"))
+        columns = [ids[row[new]], hashes[row[new]], word[new], times]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["id", "text_hash", "word", "times"])
+
+
+def tail_sums(codes: DataFrame, counts: DataFrame) -> DataFrame:
+    """_id, _hash, tail_logs, tail_known, tail_tokens: sums over the tails of the rows alike in id and text.
+
+    None of these words is among the most frequent, so none holds more of the tokens than a share of
+    one in COUNTED.
+    """
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id")
+    words = codes.filter(F.length("tail") > 0).select(key, "text_hash", "tail").mapInArrow(_spread, "id long, text_hash long, word long, times long")
+    c = F.coalesce("c", F.lit(0))
+    sums = words.join(counts.select("word", "c"), "word", "left").groupBy(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"))
+    return sums.agg(
+        F.sum(F.col("times") * F.log10(c + ADDED)).alias("tail_logs"),
+        F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("tail_known"), F.sum("times").alias("tail_tokens"),
+    )
+
+
 def _units(codes: list[bytes], units: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(place, unit, unit before, unit before that) of the tokens of rare classes of some texts."""
     code = np.frombuffer(b"".join(codes), np.uint8).astype(np.int64)
     sizes = np.fromiter(map(len, codes), np.int64, len(codes))
     start = np.cumsum(sizes) - sizes
     place = np.flatnonzero(code > FREQUENT)
-    planes = [np.frombuffer(u, np.uint8).reshape(4, -1).T for u in units]
-    rare = np.ascontiguousarray(np.concatenate(planes)).view("<u4").ravel() if planes else np.empty(0)
-    code[place] = rare
+    code[place] = np.frombuffer(b"".join(units), "<u2")
     one = np.r_[0, code[:-1]]
     one[start] = 0
     two = np.r_[0, one[:-1]]
@@ -178,11 +264,11 @@ class WordModel:
         self.out = np.zeros((n, WIDTH), np.float32)
         #: Rest of each class: log10 of what its words' counts are divided by. Words: log10(count + 0.1).
         self.rest = np.zeros(ENDINGS)
-        self.own = np.log10(vocabulary.counts + ADDED)
-        share = vocabulary.counts + ADDED
+        self.own = np.log10(vocabulary.unit_counts + ADDED)
+        share = vocabulary.unit_counts + ADDED
         for c in range(ENDINGS):
             words = slice(first[c] + 1, first[c + 1])
-            n_rest = tokens[1 + FREQUENT + c] - vocabulary.counts[words].sum()
+            n_rest = tokens[1 + FREQUENT + c] - vocabulary.unit_counts[words].sum()
             share[first[c]] = n_rest + ADDED * (types[1 + FREQUENT + c] - (first[c + 1] - first[c] - 1) + 1)
             self.rest[c] = np.log10(share[first[c]])
             share[first[c] : first[c + 1]] /= share[first[c] : first[c + 1]].sum()
@@ -239,13 +325,13 @@ class WordModel:
             for a, b, every in self.by_class(unit):
                 every = rng.permutation(every)
                 reach = np.cumsum(self.noise[a:b])
-                for i in range(0, len(every), BATCH):
-                    some = every[i : i + BATCH]
-                    drawn = a + np.searchsorted(reach, rng.random(NOISE) * reach[-1], "right").clip(max=b - a - 1)
+                chance = np.log(WORD_NOISE * self.noise[a:b]).astype(np.float32)
+                for i in range(0, len(every), WORD_BATCH):
+                    some = every[i : i + WORD_BATCH]
+                    drawn = a + np.searchsorted(reach, rng.random(WORD_NOISE) * reach[-1], "right").clip(max=b - a - 1)
                     word, context = unit[some], self.one[one[some]] + self.two[two[some]]
-                    chance = np.log(NOISE * self.noise)
-                    true = (context * self.out[word]).sum(axis=1) + self.bias[word] - chance[word]
-                    false = context @ self.out[drawn].T + self.bias[drawn] - chance[drawn].astype(np.float32)
+                    true = np.einsum("ij,ij->i", context, self.out[word]) + self.bias[word] - chance[word - a]
+                    false = context @ self.out[drawn].T + self.bias[drawn] - chance[drawn - a]
                     pull = (-1 / (1 + np.exp(true.clip(-60, 60)))).astype(np.float32)
                     push = 1 / (1 + np.exp(-false.clip(-60, 60)))
                     back = pull[:, None] * self.out[word] + push @ self.out[drawn]
@@ -261,8 +347,6 @@ class WordModel:
 def learned(codes: DataFrame, model: WordModel) -> WordModel:
     """``model`` after PASSES over all rows of ``codes``, its rows averaged over the tasks by their uses."""
     spark, n = codes.sparkSession, len(model.bias)
-    if n == CLASSES:
-        return model  # no word has vectors of its own
     for _ in range(PASSES):
         shared = spark.sparkContext.broadcast(model)
 
@@ -274,8 +358,8 @@ def learned(codes: DataFrame, model: WordModel) -> WordModel:
             def texts() -> Iterator[tuple[list[bytes], list[bytes]]]:
                 for batch in batches:
                     some = [batch.column(c).to_pylist() for c in ("codes", "units")]
-                    for i in range(0, len(some[0]), 256):
-                        yield some[0][i : i + 256], some[1][i : i + 256]
+                    for i in range(0, len(some[0]), 512):
+                        yield some[0][i : i + 512], some[1][i : i + 512]
 
             change, uses = own.learn(texts())
             whole = np.column_stack([change, uses]).astype(np.float32)
@@ -288,7 +372,7 @@ def learned(codes: DataFrame, model: WordModel) -> WordModel:
             return pa.table({"block": table.column("block")[:1], "rows": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
         kind = "block int, rows binary"
-        tasks = codes.select("codes", "units").coalesce(TRAINERS).mapInArrow(run, kind)
+        tasks = codes.select("codes", "units").coalesce(partitions(spark)).mapInArrow(run, kind)
         found = tasks.groupBy("block").applyInArrow(added, kind).toArrow().sort_by("block").column("rows").to_pylist()
         if found:
             whole = np.frombuffer(b"".join(found), np.float32).reshape(n, -1)
@@ -386,43 +470,6 @@ def _slopes(w: dict, far, near, word, drawn, chance) -> dict:
     }
 
 
-def rare_sums(docs: DataFrame, frequent: list[bytes]) -> DataFrame:
-    """kind, id, text_hash, logs, known, rows over the tokens that are no frequent words.
-
-    Kind 0, per document: the sum of log10(c + 0.1), the tokens with c > 0, all; c is the word's
-    count in training texts. Kind 1, per class (id): as ``rows`` the distinct words with c > 0.
-    Kind 2, per word (id) with c >= MIN_COUNT: as ``known`` c.
-    A word is known by 56 bits of its hash and its class.
-    """
-    words = _words(docs.select("doc_id", text_hash().alias("text_hash"), "text"), "doc_id", "text_hash")
-    rare = words.filter(~F.col("_word").isin([w.decode() for w in frequent])) if frequent else words
-    name = F.xxhash64("_word").bitwiseAND(F.lit(-256)).bitwiseOR(_ending_column("_word"))
-    dealt = rare.select(name.alias("word"), "doc_id", "text_hash").repartition(partitions(docs.sparkSession), "word")
-    same = Window.partitionBy("word").orderBy("word")
-    train = ~held_out(F.col("doc_id"), FOLDS)
-    counted = dealt.select(
-        "word", "doc_id", "text_hash", F.count_if(train).over(same).alias("c"), F.row_number().over(same).alias("nth")
-    )
-    token = F.struct(
-        F.lit(0).alias("kind"), F.col("doc_id").cast("long").alias("id"), F.col("text_hash").alias("text_hash"),
-        F.log10(F.col("c") + ADDED).alias("logs"), (F.col("c") > 0).cast("long").alias("known"),
-    )
-    word = F.struct(
-        F.lit(1).alias("kind"), F.col("word").bitwiseAND(F.lit(255)).alias("id"), F.lit(0).cast("long").alias("text_hash"),
-        F.lit(0.0).alias("logs"), F.lit(0).cast("long").alias("known"),
-    )
-    often = F.struct(
-        F.lit(2).alias("kind"), F.col("word").alias("id"), F.lit(0).cast("long").alias("text_hash"),
-        F.lit(0.0).alias("logs"), F.col("c").alias("known"),
-    )
-    first = (F.col("nth") == 1) & (F.col("c") > 0)
-    with_own = F.when(first & (F.col("c") >= MIN_COUNT), F.array(token, word, often))
-    rows = counted.select(F.inline(with_own.when(first, F.array(token, word)).otherwise(F.array(token))))
-    return rows.groupBy("kind", "id", "text_hash").agg(
-        F.sum("logs").alias("logs"), F.sum("known").alias("known"), F.count(F.lit(1)).alias("rows")
-    )
-
-
 @dataclass
 class Model:
     log_class: np.ndarray  # (contexts, classes), log10
@@ -436,13 +483,13 @@ class Model:
         # Frequent words and the end are classes of their own; the others share theirs.
         rare = np.arange(CLASSES) > FREQUENT
         own = np.where(rare, 0.0, np.log10(self.tokens + ADDED))
-        return n, base, own, rare, (self.tokens > 0) & ~rare
+        return n, base, own, (self.tokens > 0) & ~rare
 
 
 def _scorer(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        n, base, own, rare, known_class = model.constants()
+        n, base, own, known_class = model.constants()
         words = model.words
         # Of a token beyond its class's share: nothing if the word has vectors, whose count is in the
         # document's sum; otherwise that sum is divided by the rest of the class.
@@ -452,7 +499,11 @@ def _scorer(shared):
             if not len(batch):
                 continue
             out = {k: [] for k in ("n_tokens", "n_known", "base_score", "score")}
-            logs, known, rows = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("logs", "known", "rows"))
+            names = ("logs", "known", "tail_logs", "tail_known", "tail_tokens", "n_tail")
+            logs, known, tail_logs, tail_known, tail_tokens, n_tail = (batch.column(k).to_numpy(zero_copy_only=False) for k in names)
+            # Rows alike in id and text have the sums of their tails together.
+            alike = np.maximum(1, tail_tokens // np.maximum(1, n_tail))
+            logs, known = logs + tail_logs / alike, known + tail_known // alike
             texts, units = (batch.column(k).to_pylist() for k in ("codes", "units"))
             for i in range(0, len(texts), 256):
                 part = texts[i : i + 256]
@@ -463,10 +514,7 @@ def _scorer(shared):
                 sizes = np.fromiter(map(len, part), np.int64, len(part))
                 start = np.cumsum(sizes) - sizes
                 total = lambda x: np.add.reduceat(x, start)
-                several = total(rare[code].astype(np.int64))
-                # Rows alike in id and text have their sums together.
-                alike = np.maximum(1, rows[i : i + 256] // np.maximum(1, several))
-                own_logs, own_known = logs[i : i + 256] / alike, known[i : i + 256] // alike
+                own_logs, own_known = logs[i : i + 256], known[i : i + 256]
                 out["n_tokens"].append(sizes)
                 out["n_known"].append(total(known_class[code].astype(np.int64)) + own_known)
                 out["base_score"].append(total(own[code]) + own_logs - sizes * base)
@@ -481,6 +529,26 @@ def _scorer(shared):
     return run
 
 
+def fitted(docs: DataFrame) -> tuple[DataFrame, DataFrame, Vocabulary, Model]:
+    """(codes, word counts, vocabulary, model) of ``docs``, learned from nine tenths of them."""
+    train = docs.filter(~held_out(F.col("doc_id"), FOLDS))
+    words = word_counts(train)
+    often = most_frequent(words)
+    vocabulary = Vocabulary.of(*(often.column(c).to_numpy() for c in ("word", "kind", "c")))
+    codes = saved(coded(docs, vocabulary), "codes")
+    counts = triples(codes.filter("NOT held_out"))
+    tokens = counts.sum(axis=0)
+    types = (tokens > 0).astype(np.int64)
+    types[1 + FREQUENT :] = 0
+    for r in words.groupBy("kind").count().collect():  # ENDINGS rows
+        types[1 + FREQUENT + r["kind"]] = r["count"]
+    frequent = vocabulary.codes <= FREQUENT
+    kinds = often.column("kind").to_numpy()[np.argsort(often.column("word").to_numpy())]
+    types[1 + FREQUENT :] -= np.bincount(kinds[frequent], minlength=ENDINGS)
+    model = Model(trained(counts), tokens, types, learned(codes.filter("NOT held_out"), WordModel(vocabulary, tokens, types)))
+    return codes, words, vocabulary, model
+
+
 def scored(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row.
 
@@ -488,25 +556,13 @@ def scored(docs: DataFrame) -> DataFrame:
     Tokens are the words between ASCII white space, A-Z as a-z, and the end of the text; NULL text
     is its end alone. Rows alike in id and text get the same scores. Scores are log10.
     """
-    train = docs.filter(~held_out(F.col("doc_id"), FOLDS))
-    frequent = frequent_words(train.select("text"))
-    sums = saved(rare_sums(docs, frequent), "rare-words")
-    often = sums.filter("kind = 2").select("id", "known").toArrow()  # the words that the model has vectors of
-    vocabulary = Vocabulary.of(often.column("id").to_pylist(), often.column("known").to_pylist())
-    codes = saved(coded(docs, frequent, vocabulary), "codes")
-    counts = triples(codes.filter("NOT held_out"))
-    types = np.zeros(CLASSES, np.int64)
-    types[: 1 + FREQUENT] = counts.sum(axis=0)[: 1 + FREQUENT] > 0
-    for r in sums.filter("kind = 1").select("id", "rows").collect():  # ENDINGS rows
-        types[1 + FREQUENT + r["id"]] = r["rows"]
-    tokens = counts.sum(axis=0)
-    words = learned(codes.filter("NOT held_out"), WordModel(vocabulary, tokens, types))
-    model = Model(trained(counts), tokens, types, words)
-    per_doc = sums.filter("kind = 0").select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), "logs", "known", "rows")
-    same = codes["doc_id"].eqNullSafe(per_doc["_id"]) & (codes["text_hash"] == per_doc["_hash"])
-    joined = codes.join(per_doc, same, "left").select(
-        "doc_id", "held_out", "codes", "units", F.coalesce("logs", F.lit(0.0)).alias("logs"),
-        F.coalesce("known", F.lit(0)).cast("long").alias("known"), F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
+    codes, words, _, model = fitted(docs)
+    sums = tail_sums(codes, words)
+    same = (F.coalesce(codes["doc_id"].cast("long"), F.lit(0)) == sums["_id"]) & (codes["text_hash"] == sums["_hash"])
+    zero = lambda c, kind: F.coalesce(c, F.lit(0)).cast(kind).alias(c)
+    joined = codes.join(sums, same, "left").select(
+        "doc_id", "held_out", "codes", "units", "logs", "known", zero("tail_logs", "double"), zero("tail_known", "long"),
+        zero("tail_tokens", "long"), (F.length("tail") / 8).cast("long").alias("n_tail"),
     )
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return joined.mapInArrow(_scorer(shared), OUT.format(id=joined.schema["doc_id"].dataType.simpleString()))

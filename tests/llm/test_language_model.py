@@ -81,13 +81,14 @@ def test_probabilities_add_up(spark, short):
         return {r.doc_id: r.score for r in lm.scored(spark.createDataFrame(docs + extra, SCHEMA)).collect()}
 
     scores = model_of(probes)
-    frequent = lm.frequent_words(frame.filter(~lm.held_out(F.col("doc_id"), 10)))
-    counts = lm.triples(lm.coded(frame, frequent).filter("NOT held_out"))
+    words_of = lm.word_counts(frame.filter(~lm.held_out(F.col("doc_id"), 10)))
+    vocabulary = vocabulary_of(words_of)
+    counts = lm.triples(lm.coded(frame, vocabulary).filter("NOT held_out"))
     table = lm.trained(counts)
     assert np.allclose((10**table).sum(axis=1), 1)
-    known = {w: i + 1 for i, w in enumerate(frequent)}
-    code = lambda w: known.get(w) or 1 + lm.FREQUENT + lm._ending_class(w[-2:])
+    code = lambda w: unit_of(vocabulary, w)[0]
     one, two = code(b"an"), code(b"ar")
+    assert one <= lm.FREQUENT and two <= lm.FREQUENT
     total = 0.0
     for i, text in probes:
         w = text[len(start) :].encode()
@@ -95,14 +96,8 @@ def test_probabilities_add_up(spark, short):
         total += 10 ** (scores[i] - end)
     # What is left of each score is P(an) P(ar | an) P(word | an ar).
     head = table[0, one] + table[one, two]
-    inner = 0.0
-    for w, c in ((b"an", one), (b"ar", two)):
-        if c > lm.FREQUENT:
-            n = Counter(x for d, t in docs if train(d) for x in tokens(t)[:-1])
-            mates = [x for x in n if code(x) == c]
-            inner += math.log10((n[w] + 0.1) / (sum(n[x] for x in mates) + 0.1 * (len(mates) + 1)))
     ends = 10 ** table[one * lm.CLASSES + two, 0]
-    assert total + ends * 10 ** (head + inner) == pytest.approx(10 ** (head + inner), rel=1e-6)
+    assert total + ends * 10**head == pytest.approx(10**head, rel=1e-6)
 
 
 def test_contrastive_training_nears_the_truth():
@@ -134,15 +129,13 @@ def test_tokens_at_text_borders():
     assert context.tolist() == [0, 5, 5 * k + 6, 0, 0, 7]
 
 
-def test_probabilities_of_words_with_vectors_add_up(spark, short, monkeypatch):
-    monkeypatch.setattr(lm, "MIN_COUNT", 20)
-    monkeypatch.setattr(lm, "WORD_RATE", 0.5)
+def test_probabilities_without_words_of_their_own_add_up(spark, short, monkeypatch):
+    monkeypatch.setattr(lm, "OWN", 0)
     test_probabilities_add_up(spark, short)
 
 
-def test_context_tells_words_of_one_class_apart(spark, short, monkeypatch):
+def test_context_tells_words_of_one_class_apart(spark, short):
     """Two words of one ending class, equally frequent, each after its own kind of word."""
-    monkeypatch.setattr(lm, "MIN_COUNT", 50)
     rng = random.Random(4)
     common = [f"{a}{b}" for a in "bcdfghjklmnp" for b in "aeiou"] + ["qa", "qe", "qi"]
     beginnings, ends = ["ustart", "vstart"], ["redend", "blueend"]  # one class of endings each
@@ -160,10 +153,79 @@ def test_context_tells_words_of_one_class_apart(spark, short, monkeypatch):
     assert sum(r.score for r in same) > sum(r.score for r in other) + 1
 
 
-def test_units_by_class():
-    names = [5 << 8 | 3, -(7 << 8) | 3, 9 << 8 | 0]
-    v = lm.Vocabulary.of(names, [10, 20, 30])
-    k = 1 + lm.FREQUENT
-    assert v.first[:5].tolist() == [k, k + 2, k + 3, k + 4, k + 7] and v.first[-1] == lm.CLASSES + 3
-    assert dict(zip(v.names.tolist(), v.units.tolist())) == {names[1]: k + 5, names[0]: k + 6, names[2]: k + 1}
-    assert v.counts[[k + 5, k + 6, k + 1]].tolist() == [20, 10, 30]
+def test_units_by_class(monkeypatch):
+    monkeypatch.setattr(lm, "FREQUENT", 2)
+    monkeypatch.setattr(lm, "OWN", 3)
+    words = np.array([50, -7, 30, 90, 10, 70])
+    kinds = np.array([3, 3, 0, 3, 1, 0])
+    v = lm.Vocabulary.of(words, kinds, np.array([10, 20, 30, 9, 40, 5]))
+    assert v.words.tolist() == [-7, 10, 30, 50, 70, 90] and v.counts.tolist() == [20, 40, 30, 10, 5, 9]
+    # 10 and 30 are the frequent ones; -7, 50 and 90 have vectors, 70 shares that of its class.
+    assert v.first[:5].tolist() == [3, 4, 5, 6, 10] and v.first[-1] == 3 + lm.ENDINGS + 3
+    assert dict(zip(v.words.tolist(), v.codes.tolist())) == {-7: 6, 10: 1, 30: 2, 50: 6, 70: 3, 90: 6}
+    units = dict(zip(v.words.tolist(), v.units.tolist()))
+    assert units[10] == 1 and units[30] == 2 and units[70] == 3 and {units[w] for w in (-7, 50, 90)} == {7, 8, 9}
+    assert [v.unit_counts[units[w]] for w in (-7, 50, 90)] == [20, 10, 9] and v.unit_counts.sum() == 39
+
+
+def test_counted_words_are_the_most_frequent(spark):
+    rows = [(i, 0, c) for i, c in enumerate([1] * 50 + [2] * 20 + [3] * 10 + [1000, 5000])]
+    counts = spark.createDataFrame(rows, "word long, kind int, c long")
+    for most, want in ((1, 1), (2, 2), (11, 2), (12, 12), (40, 32), (82, 82), (1000, 82)):
+        assert lm.most_frequent(counts, most).num_rows == want
+    assert lm.most_frequent(counts.limit(0)).num_rows == 0
+
+
+def vocabulary_of(words):
+    often = lm.most_frequent(words)
+    return lm.Vocabulary.of(*(often.column(c).to_numpy() for c in ("word", "kind", "c")))
+
+
+def unit_of(vocabulary, word):
+    """(class, unit) of a word of bytes."""
+    h = lm.Hasher(np.frombuffer(word, np.uint8)).of(np.array([0]), np.array([len(word)])).view(np.int64)[0]
+    at = np.searchsorted(vocabulary.words, h)
+    if at < len(vocabulary.words) and vocabulary.words[at] == h:
+        return int(vocabulary.codes[at]), int(vocabulary.units[at])
+    kind = lm._ending_class(word[-2:])
+    return 1 + lm.FREQUENT + kind, int(vocabulary.first[kind])
+
+
+def plain_score(text, model, vocabulary, count):
+    """A text's score token by token, from the model's parameters."""
+    score, one, two = 0.0, (0, 0), (0, 0)
+    for word in [*(text or "").encode().lower().split(), None]:
+        code, unit = (0, 0) if word is None else unit_of(vocabulary, word)
+        score += model.log_class[two[0] * lm.CLASSES + one[0], code]
+        if code > lm.FREQUENT:
+            w, c = model.words, code - 1 - lm.FREQUENT
+            a, b = int(w.first[c]), int(w.first[c + 1])
+            z = [float((w.one[one[1]] + w.two[two[1]]) @ w.out[u] + w.bias[u]) for u in range(a, b)]
+            top = max(z)
+            if b - a > 1:
+                score += (z[unit - a] - top - math.log(sum(math.exp(x - top) for x in z))) / math.log(10)
+            if unit == a:
+                score += math.log10(count[word] + 0.1) - w.rest[c]
+        one, two = (code, unit), one
+    return score
+
+
+def test_scores_token_by_token(spark, short, monkeypatch):
+    """Each document's score from the model's parameters, with words counted for all tasks, in the tail, and unseen."""
+    docs = some_docs()
+    rng = random.Random(5)
+    docs += [(2000 + i, " ".join(f"w{rng.randint(0, 400)}{rng.choice('abcdefg')}x" for _ in range(rng.randint(1, 50)))) for i in range(80)]
+    monkeypatch.setattr(lm, "COUNTED", 100)
+    monkeypatch.setattr(lm, "OWN", 15)
+    seen, fit = [], lm.fitted
+    monkeypatch.setattr(lm, "fitted", lambda docs: seen.append(fit(docs)) or seen[0])
+    got = lm.scored(spark.createDataFrame(docs, SCHEMA)).collect()
+    _, _, vocabulary, model = seen[0]
+    assert len(vocabulary.words) <= 100 and np.abs(model.words.out).sum() > 0
+    count = Counter(w for d, t in docs if train(d) for w in tokens(t)[:-1])
+    want = {}
+    for d, t in docs:
+        want.setdefault((d, len(tokens(t))), []).append(plain_score(t, model, vocabulary, count))
+    for r in got:
+        near = min(want[r.doc_id, r.n_tokens], key=lambda x: abs(x - r.score))
+        assert r.score == pytest.approx(near, rel=1e-5, abs=1e-5)

@@ -13,6 +13,7 @@ from rentrank.llm import language_model as lm
 from rentrank.llm import packing, toxicity
 from rentrank.llm.registry import ORACLES, QUERIES
 from tests.llm.test_decontamination import plain as plain_contamination
+from tests.llm.test_language_model import plain_score
 from tests.llm.test_packing import check as check_pieces
 from tests.llm.test_sharding import check as check_shards
 from tests.llm.test_simhash import plain_fingerprint, plain_groups
@@ -42,7 +43,9 @@ def test_op1(spark, docs):
 
 
 def test_op2(spark, docs, monkeypatch):
-    monkeypatch.setattr(lm, "STEPS", 300)
+    """With production parameters, each document's score is worked out anew token by token."""
+    seen, fit = [], lm.fitted
+    monkeypatch.setattr(lm, "fitted", lambda frame: seen.append(fit(frame)) or seen[0])
     got = {r.doc_id: r for r in QUERIES["op2_log_bilinear_scoring"](spark, SF_DIR).collect()}
     words = {d: [*(t or "").encode().lower().split(), None] for d, t in docs}
     train = Counter(w for d, ws in words.items() if zlib.crc32(str(d).encode()) % 10 for w in ws)
@@ -53,6 +56,9 @@ def test_op2(spark, docs, monkeypatch):
         assert got[d].base_score == pytest.approx(base, rel=1e-9)
     far = [r for r in got.values() if r.held_out]
     assert sum(r.score for r in far) > sum(r.base_score for r in far)
+    for d, t in docs[::8]:
+        want = plain_score(t, seen[0][3], seen[0][2], train) if len(t) <= 3000 else got[d].score
+        assert got[d].score == pytest.approx(want, rel=1e-5)
 
 
 def test_op4(spark, docs):
