@@ -10,15 +10,12 @@ window are exact phrase matches. Built from DataFrame functions only.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from rentrank.llm.store import partitions, saved, table, text_hash
+from rentrank.llm.store import bucketed, saved, table, text_hash
 from rentrank.llm.text import lowered
-from rentrank.session import work_dir
 
 WINDOW = 10
 #: Java has it as: anything but a digit, a letter (A-Z are lower-cased later) or beyond ASCII.
@@ -64,18 +61,13 @@ def document_key() -> list[Column]:
 def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """The positional index: _id, _text, _term, _tf, _places (ascending not promised).
 
-    ``terms``: (_word, _term). A written table, in buckets by document, sorted by term within.
+    ``terms``: (_word, _term). A written table, in buckets by document. Rows alike in id and text are
+    one before they are dealt out, however many there are.
     """
-    spark = docs.sparkSession
-    n = partitions(spark)
-    dealt = docs.select(*document_key(), F.col("text").alias("_body")).repartition(n, *DOC)
-    found = _words(dealt, DOC, "_body").join(terms, "_word").select(*DOC, "_term", "_at")
+    once = docs.select(*document_key(), F.col("text").alias("_body")).groupBy(*DOC).agg(F.first("_body").alias("_body"))
+    found = _words(once, DOC, "_body").join(terms, "_word").select(*DOC, "_term", "_at")
     postings = found.groupBy(*DOC, "_term").agg(F.collect_list("_at").alias("_places"))
-    postings = postings.withColumn("_tf", F.size("_places"))
-    name = f"postings_{uuid.uuid4().hex}"
-    path = work_dir(spark, "postings")
-    postings.write.bucketBy(n, *DOC).sortBy("_term").option("path", path).saveAsTable(name)
-    return spark.table(name)
+    return bucketed(postings.withColumn("_tf", F.size("_places")), "postings", *DOC)
 
 
 def _anchors(items: DataFrame, index: DataFrame, window: int) -> DataFrame:

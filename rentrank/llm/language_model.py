@@ -198,7 +198,7 @@ def coded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
             columns = [batch.column(c) for c in ("doc_id", "text_hash", "held_out")]
             columns += [lists(every, np.ones(len(code), bool), 1), lists(unit[rare], rare)]
-            columns += [pa.array(np.bincount(row[rare], logs[rare], n)), pa.array(np.bincount(row[rare & met], minlength=n)), lists(word[tail], tail)]
+            columns += [pa.array(np.bincount(row[rare], logs[rare], n).astype(float)), pa.array(np.bincount(row[rare & met], minlength=n)), lists(word[tail], tail)]
             names = ["doc_id", "text_hash", "held_out", "codes", "units", "logs", "known", "tail"]
             yield pa.RecordBatch.from_arrays(columns, names)
 

@@ -206,8 +206,10 @@ def one_of_each(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> Da
     often = saved(often, "often")
     again = stays["doc_id"].eqNullSafe(often["_often"])
     single = stays.join(often, again, "left_anti")
-    repeated = stays.join(often, again, "left_semi").withColumn("_text", F.coalesce("text", F.lit("")))
-    return single.unionByName(repeated.dropDuplicates(["doc_id", "_text"]).drop("_text"))
+    # The columns of documents may have any names, so they are one column meanwhile.
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    repeated = stays.join(often, again, "left_semi").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), whole.alias("row"))
+    return single.unionByName(repeated.dropDuplicates(["doc_id", "text"]).select("row.*"))
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

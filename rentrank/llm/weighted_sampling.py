@@ -18,7 +18,7 @@ from rentrank.llm import order
 from rentrank.llm.store import partitions, saved, table, text_hash
 
 #: Samples of a fingerprint; the likeness has a standard error of at most 1 / (2 * sqrt(SAMPLES)).
-SAMPLES = 32
+SAMPLES = 48
 SPACE = "[\\x09-\\x0D\\x20]+"
 _UNIT = float(1 << 32)
 
@@ -120,7 +120,7 @@ def _with_next(docs: DataFrame) -> DataFrame:
         heads.select("doc_id", "_text", "_hash", F.col("_to").alias("_bucket"), F.lit(True).alias("_guest"))
     )
     within = Window.partitionBy("_bucket").orderBy("_guest", F.desc_nulls_last("doc_id"), F.desc("_hash"))
-    dealt = both.repartition(n, "_bucket")
+    dealt = both.repartitionById(n, "_bucket")  # a bucket to a task, not by the hash of its number
     return dealt.select(
         "_bucket", "_guest", "doc_id", "_text",
         F.row_number().over(within).alias("_place"),

@@ -98,3 +98,15 @@ def test_query_equals_sql(spark):
     plan = got._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert differences(got.toPandas(), db.sql(dec.ORACLE).df()) is None
+
+
+def test_rows_alike_are_one_in_the_index(spark):
+    docs = [(7, "a b c d e f g h i j k a")] * 500 + [(8, "a b c")] * 3 + [(None, None)] * 4
+    items = [(1, "b c d e f g h i j k")]
+    frame, bench = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)
+    tables = {t.name for t in spark.catalog.listTables()}
+    _, index = dec.indexed(frame, bench)
+    assert max(r["_tf"] for r in index.collect()) == 1  # one place each in one row, not 500
+    assert {t.name for t in spark.catalog.listTables()} == tables
+    got = dec.contaminated(frame, bench).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == plain(docs, items)

@@ -6,11 +6,12 @@ import zlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
 from rentrank.llm import language_model as lm
-from rentrank.llm import packing, toxicity
+from rentrank.llm import collocations, decontamination, merkle_manifest, packing, sharding, simhash, suffix_dedup, toxicity, weighted_sampling
 from rentrank.llm.registry import ORACLES, QUERIES
 from tests.llm.test_decontamination import plain as plain_contamination
 from tests.llm.test_language_model import plain_score
@@ -117,3 +118,29 @@ def test_stages_take_empty_and_odd_tables(spark):
             kept = stage(spark, kept, SF_DIR)
             kept.collect()
     assert corpus_pipeline.drop_toxic(spark, odd, SF_DIR).columns == odd.columns
+
+
+NAMES = (
+    "_text _text2 _id _hash _item _begin _len _off _term _places _body _kept_id _kept_text _often mark fp row u v own _bucket "
+    "_place _guest _next _rank _start row_number tree rank digest leaf path id g rest pos m keep p n whole key body codes units "
+    "tail logs known word kind c held_out text_hash w0 k f a l r score _unit unit"
+)
+
+
+def test_columns_of_any_name(spark):
+    """Every stage and operator on documents that have a column for each name used inside."""
+    texts = [None, "", "one two three four", "one two three four", "Red. red red. " * 40, "the quick brown fox " * 30]
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(texts)] + [(2, texts[2], "en", "s", 1)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    many = frame.withColumns({name: F.lit("x") for name in NAMES.split()})
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, many, SF_DIR)
+        if name != "packing":
+            assert got.columns == many.columns, name
+        assert got.count() >= 1, name
+    for run in (
+        simhash.near_duplicates, sharding.sharded, weighted_sampling.fingerprinted, merkle_manifest.manifest,
+        suffix_dedup.deduplicated, lm.scored, lambda d: collocations.collocations(d, 3),
+        lambda d: decontamination.contaminated(d, spark.read.parquet(f"{SF_DIR}/benchmark.parquet")),
+    ):
+        assert sorted(map(str, run(many).collect())) == sorted(map(str, run(frame).collect()))

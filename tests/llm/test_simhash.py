@@ -146,7 +146,7 @@ def test_empty_table(spark):
 
 def test_one_of_each_keeps_the_smallest(spark):
     rows = some_rows()
-    frame = spark.createDataFrame(rows, SCHEMA).withColumn("_text2", F.lit(1)).withColumn("fp", F.lit("x"))
+    frame = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit(1) for c in ("_text", "fp", "row", "_often", "_kept_id", "_kept_text", "mark", "a.b")})
     got = simhash.one_of_each(frame)
     assert got.columns == frame.columns
     kept = [(r.doc_id, r.text) for r in got.collect()]
