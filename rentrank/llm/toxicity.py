@@ -52,7 +52,7 @@ CHUNKS = (3, 5, 7, 9)
 #: How strongly the logistic fit is pulled towards slope 0.
 PULL = 0.05
 #: Words whose ratios a worker remembers before it begins anew.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 #: Texts that are counted or scored together.
 TEXTS = 256
 
@@ -253,11 +253,14 @@ class Scorer:
                 n[i], parts[i] = len(words), (mild.sum(), beyond[beyond > 0].sum(), beyond[beyond < 0].sum())
         return n, parts
 
-    def scores(self, texts: list[str | None]) -> np.ndarray:
-        """Between 0 and 1; a text without words gets the calibration's offset alone."""
+    def scores(self, texts: pa.Array) -> np.ndarray:
+        """Between 0 and 1; a text without words gets the calibration's offset alone.
+
+        Only TEXTS of them are taken out of the batch at a time.
+        """
         out = np.empty(len(texts))
         for i in range(0, len(texts), TEXTS):
-            n, parts = self(texts[i : i + TEXTS])
+            n, parts = self(texts.slice(i, TEXTS).to_pylist())
             z = features(n, parts) @ self.model.slopes + self.model.offset
             out[i : i + TEXTS] = 1 / (1 + np.exp(-np.clip(z, -60, 60)))
         return out
@@ -343,7 +346,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in batches:
-            score = scorer.scores(batch.column("text").to_pylist())
+            score = scorer.scores(batch.column("text"))
             columns = [batch.column("doc_id"), batch.column("held_out"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "score", "predicted"])
 
@@ -359,7 +362,7 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in batches:
-            score = scorer.scores(batch.column("text").to_pylist())
+            score = scorer.scores(batch.column("text"))
             yield batch.filter(pa.array(score < 0.5))
 
     return docs.mapInArrow(run, docs.schema)
