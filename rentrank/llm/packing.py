@@ -34,9 +34,9 @@ DEPTH = 4
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 #: Words whose ids a worker remembers, before it begins anew: about 200 bytes each.
-REMEMBERED = 600_000
+REMEMBERED = 900_000
 #: Texts that are looked up together, and new words that are encoded as one text.
-TEXTS, WORDS = 1_000, 5_000
+TEXTS, WORDS = 2_000, 5_000
 #: Characters one of which may stand between words that are encoded as one text.
 MARKS = "^~"
 POINTS = ".,;:!?"
@@ -99,7 +99,7 @@ class WordIds:
 
     def __call__(self, texts: pa.Array, end: int) -> list[bytes]:
         """The ids of each text, then ``end``, as little-endian numbers."""
-        out, split, coded = [], None, None
+        out = []
         for i in range(0, len(texts), TEXTS):
             # At ASCII white space only, which the tokenizer drops; pieces may be empty.
             split = pc.ascii_split_whitespace(pc.fill_null(texts.slice(i, TEXTS), ""))
@@ -115,8 +115,6 @@ class WordIds:
             reach = np.r_[0, ends][np.cumsum(pc.list_value_length(split).to_numpy())]
             last = np.array([end], self.kind).tobytes()
             out += [flat[a:b].tobytes() + last for a, b in zip([0, *reach[:-1].tolist()], reach.tolist())]
-        del split, coded
-        pa.default_memory_pool().release_unused()
         return out
 
 
