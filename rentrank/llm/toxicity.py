@@ -53,11 +53,14 @@ CHUNKS = (3, 5, 7, 9)
 PULL = 0.05
 #: Words whose ratios a worker remembers before it begins anew.
 REMEMBERED = 300_000
-#: Texts that are counted or scored together.
-TEXTS = 256
+#: Bytes of text that are taken out of a batch and scored together; a longer text is cut between words.
+STRETCH = 1 << 19
+#: Distinct words of texts that are counted together.
+COUNTED = 50_000
 
 ROOT = 0
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+GAP = re.compile(rb"[^0-9a-z\x80-\xff]")
 EVENTS = "parent long, node long, unit long, toxic long, ordinary long"
 
 
@@ -89,25 +92,32 @@ def held_out(doc_id: Column, folds: int) -> Column:
 def _events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many documents of either class have a chunk after a beginning, some texts at a time."""
     for batch in batches:
-        texts, marks = batch.column("text").to_pylist(), batch.column("toxic").to_pylist()
-        for i in range(0, len(texts), TEXTS):
-            words: tuple[Counter, Counter] = (Counter(), Counter())
-            for text, toxic in zip(texts[i : i + TEXTS], marks[i : i + TEXTS]):
-                words[toxic].update(set(words_of(text)))
-            rows: dict[tuple[int, int, int], list[int]] = {}
-            for toxic in (0, 1):
-                for word, n in words[toxic].items():
-                    parent = ROOT
-                    for sofar, chunk in chain(word):
-                        node = _hash(sofar)
-                        rows.setdefault((parent, node, _hash(chunk)), [0, 0])[toxic] += n
-                        parent = node
-            keys = list(rows)
-            yield pa.RecordBatch.from_arrays(
-                [*(_signed([k[j] for k in keys]) for j in range(3)),
-                 pa.array([rows[k][1] for k in keys], pa.int64()), pa.array([rows[k][0] for k in keys], pa.int64())],
-                ["parent", "node", "unit", "toxic", "ordinary"],
-            )
+        words: tuple[Counter, Counter] = (Counter(), Counter())
+        for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist()):
+            words[toxic].update(set(words_of(text.as_py())))
+            if len(words[0]) + len(words[1]) >= COUNTED:
+                yield from _counted(words)
+                words = (Counter(), Counter())
+        yield from _counted(words)
+
+
+def _counted(words: tuple[Counter, Counter]) -> Iterator[pa.RecordBatch]:
+    """The chunks of the words of ordinary and toxic texts, COUNTED words at a time."""
+    pairs = [(word, toxic, n) for toxic in (0, 1) for word, n in words[toxic].items()]
+    for i in range(0, len(pairs), COUNTED):
+        rows: dict[tuple[int, int, int], list[int]] = {}
+        for word, toxic, n in pairs[i : i + COUNTED]:
+            parent = ROOT
+            for sofar, chunk in chain(word):
+                node = _hash(sofar)
+                rows.setdefault((parent, node, _hash(chunk)), [0, 0])[toxic] += n
+                parent = node
+        keys = list(rows)
+        yield pa.RecordBatch.from_arrays(
+            [*(_signed([k[j] for k in keys]) for j in range(3)),
+             pa.array([rows[k][1] for k in keys], pa.int64()), pa.array([rows[k][0] for k in keys], pa.int64())],
+            ["parent", "node", "unit", "toxic", "ordinary"],
+        )
 
 
 @dataclass
@@ -235,35 +245,54 @@ class Scorer:
             alive = there
         self.known.update(zip(words, ratio.tolist()))
 
-    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(words, parts of the log-likelihood ratio: mild, above, below) of each text."""
-        split = [words_of(t) for t in texts]
-        new = [w for w in set().union(*split) if w not in self.known]
+    def _add(self, pieces: list[tuple[int, list[bytes]]], n: np.ndarray, parts: np.ndarray) -> None:
+        """Add the words of ``pieces``, each with its text's number, to the texts' sums."""
+        new = [w for w in set().union(*(words for _, words in pieces)) if w not in self.known]
         if len(new) + len(self.known) > REMEMBERED:
             self.known.clear()
-            new = list(set().union(*split))
+            new = list(set().union(*(words for _, words in pieces)))
         if new:
             self._learn(new)
-        n, parts = np.zeros(len(split), np.int64), np.zeros((len(split), 3))
-        for i, words in enumerate(split):
-            if words:
-                ratio = np.array([self.known[w] for w in words])
-                mild = np.clip(ratio, -MILD, MILD)
-                beyond = ratio - mild
-                n[i], parts[i] = len(words), (mild.sum(), beyond[beyond > 0].sum(), beyond[beyond < 0].sum())
+        for i, words in pieces:
+            ratio = np.fromiter(map(self.known.__getitem__, words), float, len(words))
+            mild = np.clip(ratio, -MILD, MILD)
+            beyond = ratio - mild
+            n[i] += len(words)
+            parts[i] += mild.sum(), beyond[beyond > 0].sum(), beyond[beyond < 0].sum()
+
+    def __call__(self, texts: list[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(words, parts of the log-likelihood ratio: mild, above, below) of each text.
+
+        Of an Arrow array only one text at a time is taken out.
+        """
+        n, parts = np.zeros(len(texts), np.int64), np.zeros((len(texts), 3))
+        pieces: list[tuple[int, list[bytes]]] = []
+        held = 0
+        for i, text in enumerate(texts):
+            text = text.as_py() if isinstance(text, pa.Scalar) else text
+            for words, length in _stretches((text or "").encode().lower()):
+                if held and held + length > STRETCH:
+                    self._add(pieces, n, parts)
+                    pieces, held = [], 0
+                pieces.append((i, words))
+                held += length
+        self._add(pieces, n, parts)
         return n, parts
 
     def scores(self, texts: pa.Array) -> np.ndarray:
-        """Between 0 and 1; a text without words gets the calibration's offset alone.
+        """Between 0 and 1; a text without words gets the calibration's offset alone."""
+        z = features(*self(texts)) @ self.model.slopes + self.model.offset
+        return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
-        Only TEXTS of them are taken out of the batch at a time.
-        """
-        out = np.empty(len(texts))
-        for i in range(0, len(texts), TEXTS):
-            n, parts = self(texts.slice(i, TEXTS).to_pylist())
-            z = features(n, parts) @ self.model.slopes + self.model.offset
-            out[i : i + TEXTS] = 1 / (1 + np.exp(-np.clip(z, -60, 60)))
-        return out
+
+def _stretches(data: bytes) -> Iterator[tuple[list[bytes], int]]:
+    """(words, bytes) of stretches of ``data`` of about STRETCH bytes, cut between words."""
+    start = 0
+    while start < len(data):
+        gap = GAP.search(data, start + STRETCH) if len(data) - start > STRETCH else None
+        end = gap.end() if gap else len(data)
+        yield WORD.findall(data, start, end), end - start
+        start = end
 
 
 def features(n: np.ndarray, parts: np.ndarray) -> np.ndarray:
@@ -322,13 +351,14 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in batches:
-            n, parts = scorer(batch.column("text").to_pylist())
-            columns = [batch.column("toxic"), *(pa.array(x) for x in features(n, parts).T)]
+            columns = [batch.column("toxic"), *(pa.array(x) for x in features(*scorer(batch.column("text"))).T)]
             yield pa.RecordBatch.from_arrays(columns, ["toxic", "mild", "above", "below"])
 
     # At most 2 * TRAIN_DOCS rows of four numbers.
     kinds = "toxic int, mild double, above double, below double"
     rest = sample.filter("calibrate").select("text", "toxic").mapInArrow(run, kinds).toArrow()
+    # The executors get the model once more, with its slopes: they need not keep both.
+    shared.unpersist()
     y = rest.column("toxic").to_numpy().astype(float)
     x = np.stack([rest.column(c).to_numpy() for c in ("mild", "above", "below")], axis=1)
     # As often as in all labels, not as in the sample.

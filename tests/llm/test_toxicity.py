@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,6 +115,25 @@ def test_forgetting_changes_nothing(spark, monkeypatch):
     assert np.concatenate([few(texts[i : i + 3])[1] for i in range(0, len(texts), 3)]) == pytest.approx(whole)
 
 
+def test_stretches_change_nothing(spark, monkeypatch):
+    docs, labels = corpus(80)
+    mark = {d: y for d, _, y in labels}
+    frame = spark.createDataFrame([(t, mark[d], True) for d, t in docs if d in mark], "text string, toxic int, fit boolean")
+    events = lambda: sorted(map(tuple, frame.groupBy("toxic").agg(F.concat_ws(" ", F.collect_list("text")).alias("text")).mapInArrow(
+        tox._events, tox.EVENTS).groupBy("parent", "node", "unit").sum("toxic", "ordinary").collect()))
+    counted = events()
+    model = tox._fitted(frame)
+    texts = pa.array([*(t for _, t in docs), None, "", " \n", " ".join(t for _, t in docs), "bal" * 500, "\u00e9 bal. " * 300])
+    n, parts = tox.Scorer(model)(texts)
+    assert n.tolist() == [len(tox.words_of(t)) for t in texts.to_pylist()]
+    monkeypatch.setattr(tox, "STRETCH", 7)
+    again = tox.Scorer(model)(texts)
+    assert again[0].tolist() == n.tolist() and again[1] == pytest.approx(parts)
+    assert [w for ws, _ in tox._stretches(b"bal, knave\xc3\xa9 x" * 9) for w in ws] == tox.WORD.findall(b"bal, knave\xc3\xa9 x" * 9)
+    monkeypatch.setattr(tox, "COUNTED", 3)
+    assert events() == counted
+
+
 @pytest.mark.parametrize("labels, score", [([], None), ([(1, 1, 0)], 0.0), ([(1, 1, 1)], 1.0)])
 def test_one_class_or_none(spark, labels, score):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], DOCS)
