@@ -18,6 +18,7 @@ from tests.llm.test_language_model import plain_score
 from tests.llm.test_packing import check as check_pieces
 from tests.llm.test_sharding import check as check_shards
 from tests.llm.test_simhash import plain_fingerprint, plain_groups
+from tests.llm.test_toxicity import Plain as PlainToxicity
 from tests.llm.test_weighted_sampling import alike, edited
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -37,8 +38,19 @@ def test_all_are_registered():
     ]
 
 
-def test_op1(spark, docs):
+def test_op1(spark, docs, monkeypatch):
+    """With production parameters, scores are worked out anew from the sample, word by word."""
+    seen, fit, count = [], toxicity.fitted, toxicity._fitted
+    monkeypatch.setattr(toxicity, "_fitted", lambda sample: seen.append(sample.filter("fit").collect()) or count(sample))
+    monkeypatch.setattr(toxicity, "fitted", lambda frame, labels: seen.append(fit(frame, labels)) or seen[1])
     got = {r.doc_id: r for r in QUERIES["op1_kneser_ney_toxicity"](spark, SF_DIR).collect()}
+    plain, model = PlainToxicity([(r.text, r.toxic) for r in seen[0]]), seen[1]
+    for d, t in docs[::8]:
+        n = len(toxicity.words_of(t))
+        mild, above, below = (p / max(1, n) for p in plain.parts(t))
+        z = model.offset + sum(s * x for s, x in zip(model.slopes, (mild, math.sqrt(above), -math.sqrt(-below))))
+        assert got[d].score == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-6)
+        assert got[d].predicted == int(got[d].score >= 0.5)
     assert set(got) == {d for d, _ in docs}
     assert all(r.held_out == (zlib.crc32(str(d).encode()) % 5 == 0) for d, r in got.items())
 

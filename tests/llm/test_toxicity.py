@@ -42,23 +42,32 @@ class Plain:
                     self.chunks[toxic][h, sofar, chunk] += 1
                     h = sofar
         self.before = defaultdict(set)
+        self.after = {0: defaultdict(Counter), 1: defaultdict(Counter)}
         for y in (0, 1):
-            for h, _, u in self.chunks[y]:
+            for (h, _, u), n in self.chunks[y].items():
                 self.before[u].add(h)
+                self.after[y][h][u] += n
         self.total = sum(map(len, self.before.values()))
+        self.sizes, self.ratios = {}, {}
+
+    def size(self, h, *ys):
+        """(documents, chunks) after ``h`` in the classes ``ys``."""
+        if (h, ys) not in self.sizes:
+            after = sum((self.after[y][h] for y in ys), Counter())
+            self.sizes[h, ys] = sum(after.values()), len(after)
+        return self.sizes[h, ys]
 
     def spelled(self, y, word):
         p, h, lost = 1.0, b"", False
         for sofar, u in tox.chain(word):
             kept = not lost and max(self.chunks[z][h, sofar, u] for z in (0, 1)) > 1
-            own = {k: n for k, n in self.chunks[y].items() if k[0] == h and n}
-            both = {k: self.chunks[0][k] + self.chunks[1][k] for z in (0, 1) for k in self.chunks[z] if k[0] == h}
-            weight = (len(own) + tox.STRENGTH) / (sum(own.values()) + tox.STRENGTH)
+            own, kinds = self.size(h, y)
+            weight = (kinds + tox.STRENGTH) / (own + tox.STRENGTH)
             if kept:
-                size, kinds = sum(both.values()) + tox.STRENGTH, sum(n > 0 for n in both.values())
-                shared = (both[h, sofar, u] - 1) / size
-                shared += (kinds + tox.STRENGTH) / size * len(self.before[u]) / self.total
-                p *= max(0, own.get((h, sofar, u), 0) - 1) / (sum(own.values()) + tox.STRENGTH) + weight * shared
+                size, kinds = self.size(h, 0, 1)
+                shared = (self.chunks[0][h, sofar, u] + self.chunks[1][h, sofar, u] - 1) / (size + tox.STRENGTH)
+                shared += (kinds + tox.STRENGTH) / (size + tox.STRENGTH) * len(self.before[u]) / self.total
+                p *= max(0, self.chunks[y][h, sofar, u] - 1) / (own + tox.STRENGTH) + weight * shared
             else:
                 p *= (1.0 if lost else weight) * 0.001  # whatever the backoff says, both classes alike
                 lost = True
@@ -66,7 +75,9 @@ class Plain:
         return p
 
     def parts(self, text):
-        ratios = [math.log(self.spelled(1, w) / self.spelled(0, w)) for w in tox.words_of(text)]
+        for w in set(tox.words_of(text)) - set(self.ratios):
+            self.ratios[w] = math.log(self.spelled(1, w) / self.spelled(0, w))
+        ratios = [self.ratios[w] for w in tox.words_of(text)]
         mild = [max(-tox.MILD, min(tox.MILD, r)) for r in ratios]
         beyond = [r - m for r, m in zip(ratios, mild)]
         return [sum(mild), sum(b for b in beyond if b > 0), sum(b for b in beyond if b < 0)]
