@@ -120,13 +120,27 @@ def _counted(words: tuple[Counter, Counter]) -> Iterator[pa.RecordBatch]:
         )
 
 
+class Few:
+    """Numbers, many of them alike: each is kept once, and a short code of it per place."""
+
+    def __init__(self, numbers: np.ndarray):
+        self.values, codes = np.unique(numbers, return_inverse=True)
+        self.codes = codes.astype(np.min_scalar_type(len(self.values)))
+
+    def __getitem__(self, places: np.ndarray) -> np.ndarray:
+        return self.values[self.codes[places]]
+
+
 @dataclass
 class Model:
-    """Sorted hashes of beginnings, and what belongs to each; logarithms to base e."""
+    """Sorted hashes of beginnings, and what belongs to each; logarithms to base e.
+
+    Ratios and weights come from small counts, so few of them differ.
+    """
 
     nodes: np.ndarray
-    node_ratio: np.ndarray  # log P(chunk | beginning) of toxic less that of ordinary
-    node_weight: np.ndarray  # the same of the backoff weights for what follows
+    node_ratio: Few  # log P(chunk | beginning) of toxic less that of ordinary
+    node_weight: Few  # the same of the backoff weights for what follows
     root_weight: float
     #: The score is the logistic function of slopes @ features + offset.
     slopes: np.ndarray
@@ -211,7 +225,7 @@ def _fitted(sample: DataFrame) -> Model:
     order = np.argsort(nodes)
     ratio, weights = (got.column(c).to_numpy().astype(float)[order] for c in ("r", "w"))
     root = after.filter(F.col("node") == ROOT).first()
-    return Model(nodes[order], ratio, weights, root["w"] if root else 0.0, np.ones(3), 0.0)
+    return Model(nodes[order], Few(ratio), Few(weights), root["w"] if root else 0.0, np.ones(3), 0.0)
 
 
 def _found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -344,7 +358,7 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model:
     if classes != {0, 1}:
         none = np.empty(0)
         odds = float(np.log((toxic + 1e-9) / (ordinary + 1e-9)))
-        return Model(none.astype(np.uint64), none, none, 0.0, np.zeros(3), odds)
+        return Model(none.astype(np.uint64), Few(none), Few(none), 0.0, np.zeros(3), odds)
     model = _fitted(sample)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

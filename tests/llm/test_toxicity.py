@@ -220,3 +220,12 @@ def test_a_class_of_copies_still_fits(spark):
     frame, marks = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
     got = tox.scored(frame, tox.fitted(frame, marks)).collect()
     assert all(r.predicted == int(r.doc_id in ids) for r in got)
+
+
+def test_few_keeps_numbers_as_they_are():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 300, 70_000):
+        numbers = np.log(rng.integers(1, 1 + n, n) / 7)
+        few = toxicity.Few(numbers)
+        at = rng.permutation(n)
+        assert few[at].tolist() == numbers[at].tolist()
