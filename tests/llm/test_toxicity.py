@@ -226,6 +226,6 @@ def test_few_keeps_numbers_as_they_are():
     rng = np.random.default_rng(5)
     for n in (0, 1, 300, 70_000):
         numbers = np.log(rng.integers(1, 1 + n, n) / 7)
-        few = toxicity.Few(numbers)
+        few = tox.Few(numbers)
         at = rng.permutation(n)
         assert few[at].tolist() == numbers[at].tolist()
