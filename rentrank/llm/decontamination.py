@@ -5,7 +5,8 @@ a bucketed table, so that nothing of it is shuffled when it is searched. A windo
 looked up from its rarest term: the positions of that term, less its place in the item, say where
 the item would have to begin; the window's next rarest term, shifted alike, thins these out, and
 what is left is intersected with every term of the item. Runs of consecutive hits as long as a
-window are exact phrase matches. Built from DataFrame functions only.
+window are exact phrase matches; with terms up to SLOP words off their places, proximity matches.
+Built from DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from rentrank.llm.store import bucketed, saved, table, text_hash
 from rentrank.llm.text import lowered
 
 WINDOW = 10
+#: Words that a term of a proximity match may be off its place.
+SLOP = 3
 #: Java has it as: anything but a digit, a letter (A-Z are lower-cased later) or beyond ASCII.
 GAP = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 DOC = ["_id", "_text"]
@@ -86,7 +89,7 @@ def _anchors(items: DataFrame, index: DataFrame, window: int) -> DataFrame:
     )
     spread = ranked.select("*", starts.alias("_start")).filter(F.col("_off") - F.col("_start") < window)
     own = Window.partitionBy("_item", "_start")
-    order = own.orderBy("_freq", "_term", "_off")
+    order = own.orderBy("_freq", "_word", "_off")
     rare = spread.select(
         "_item", "_len", "_off", "_term",
         F.row_number().over(order).alias("_rank"),
@@ -112,11 +115,26 @@ def candidates(items: DataFrame, index: DataFrame, window: int = WINDOW, slop: i
     lists = index.join(seconds, "_term", "left_semi").select(*DOC, "_term", F.explode("_places").alias("_place"))
     begin = (F.col("_at") - F.col("_off")).alias("_begin")
     wanted = F.col("_at") - F.col("_off") + F.col("_off2")
+    # One row per place that will do, so that terms meet by place: never each with each.
+    places = F.explode(F.sequence(wanted - slop, wanted + slop)) if slop else wanted
+    found = first.withColumn("_place", places).join(lists, [*DOC, "_term", "_place"])
+    return found.select(*DOC, "_item", "_len", begin).distinct()
+
+
+def met_words(items: DataFrame, index: DataFrame, window: int = WINDOW, slop: int = 0) -> DataFrame:
+    """_id, _text, _item, _len, _begin, _off, _exact: words of items where an item may begin.
+
+    ``_off`` is the word's place in the item; the document has the word at most ``slop`` words off
+    that place after ``_begin``, or, if ``_exact``, at it.
+    """
+    asked, lists = _asked(saved(candidates(items, index, window, slop), "candidates"), items, index)
     if slop:
-        found = first.join(lists, [*DOC, "_term"]).filter(F.abs(F.col("_place") - wanted) <= slop)
+        asked = asked.withColumn("_place", F.explode(F.sequence(F.col("_wanted") - slop, F.col("_wanted") + slop)))
     else:
-        found = first.withColumn("_place", wanted).join(lists, [*DOC, "_term", "_place"])
-    return found.select(*DOC, "_item", "_len", begin).distinct()
+        asked = asked.withColumn("_place", F.col("_wanted"))
+    met = asked.join(lists.distinct(), [*DOC, "_term", "_place"])
+    at_place = F.max(F.col("_place") == F.col("_wanted")).alias("_exact")
+    return met.groupBy(*DOC, "_item", "_len", "_begin", "_off").agg(at_place)
 
 
 def _runs(met: DataFrame, window: int) -> DataFrame:
@@ -137,30 +155,34 @@ def _asked(starts: DataFrame, items: DataFrame, index: DataFrame) -> tuple[DataF
     return starts.join(words, "_item").withColumn("_wanted", F.col("_begin") + F.col("_off")), lists
 
 
-def exact_matches(items: DataFrame, index: DataFrame, window: int = WINDOW) -> DataFrame:
-    """_id, _text, _item, _first, _last: word places of the exact phrase matches.
+def phrases(met: DataFrame, window: int = WINDOW) -> DataFrame:
+    """_id, _text, _item, _first, _last: word places of the exact phrase matches in ``met``.
 
     A match is a longest run of consecutive words of an item, at least ``window`` of them, or all
     words of a shorter item.
     """
-    asked, lists = _asked(saved(candidates(items, index, window), "candidates"), items, index)
-    places = lists.distinct().withColumnRenamed("_place", "_wanted")
-    runs = _runs(asked.join(places, [*DOC, "_term", "_wanted"]), window)
-    return runs.select(
+    return _runs(met.filter("_exact"), window).select(
         *DOC, "_item", (F.col("_begin") + F.col("_from")).alias("_first"), (F.col("_begin") + F.col("_to")).alias("_last")
     )
 
 
-def near_matches(items: DataFrame, index: DataFrame, window: int = WINDOW, slop: int = 3) -> DataFrame:
-    """_id, _text, _item, _begin: proximity matches.
+def passages(met: DataFrame, window: int = WINDOW) -> DataFrame:
+    """_id, _text, _item, _begin: the proximity matches in ``met``, exact ones among them."""
+    return _runs(met, window).select(*DOC, "_item", "_begin").distinct()
+
+
+def exact_matches(items: DataFrame, index: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The exact phrase matches of all documents."""
+    return phrases(met_words(items, index, window), window)
 
-    Some window's rarest term stands at its place, and every term of a window lies at most
-    ``slop`` words off its own: insertions and swaps of words don't hide a passage.
+
+def near_matches(items: DataFrame, index: DataFrame, window: int = WINDOW, slop: int = SLOP) -> DataFrame:
+    """The proximity matches of all documents.
+
+    Some window's rarest term stands at its place, its next rarest and every word of a window at
+    most ``slop`` words off their own: insertions and swaps of words don't hide a passage.
     """
-    asked, lists = _asked(saved(candidates(items, index, window, slop), "candidates"), items, index)
-    met = asked.join(lists, [*DOC, "_term"]).filter(F.abs(F.col("_place") - F.col("_wanted")) <= slop)
-    columns = [*DOC, "_item", "_len", "_begin", "_off"]
-    return _runs(met.select(*columns).distinct(), window).select(*DOC, "_item", "_begin").distinct()
+    return passages(met_words(items, index, window, slop), window)
 
 
 def indexed(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -189,24 +211,30 @@ def hits(matches: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every row of ``docs``.
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, near_items for every row of ``docs``.
 
     Words are runs of digits, letters and characters beyond ASCII, A-Z as a-z. A window is
     ``window`` consecutive words of an item, or all of a shorter one; items without words match
     nothing. A word is hit inside any occurrence of a window. NULL text has no words. Items of
-    one item_id are one item; a NULL item_id is not listed, though its words are hit. Repeated
-    rows come back as often.
+    one item_id are one item; a NULL item_id is not listed, though its words are hit. ``near_items``
+    counts the items with a proximity match (see ``near_matches``), those that occur among them; it
+    has no part in ``contaminated``. Repeated rows come back as often.
     """
     items, index = indexed(docs, benchmark)
     names = benchmark.select(text_hash().alias("_item"), F.col("item_id").cast("string").alias("_name")).distinct()
-    found = saved(hits(saved(exact_matches(items, index, window), "matches"), names), "hits")
+    # A window that occurs is also near, so the words met for one search serve both.
+    met = saved(met_words(items, index, window, SLOP), "met-words")
+    exact = hits(saved(phrases(met, window), "matches"), names)
+    named = passages(met, window).select(*DOC, "_item").distinct().join(names, "_item")
+    near = named.groupBy(*DOC).agg(F.count_distinct("_name").alias("near_items"))
+    found = saved(near.join(exact, DOC, "left"), "hits")
     rows = docs.select("doc_id", *document_key(), word_count().alias("n_words"))
     listed = F.coalesce("_items", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return rows.join(found, DOC, "left").select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size(listed).cast("long").alias("n_items"),
         F.sha2(F.array_join(listed, ",").cast("binary"), 256).alias("items_sha256"),
-        (n_hit > 0).alias("contaminated"),
+        (n_hit > 0).alias("contaminated"), F.coalesce("near_items", F.lit(0).cast("long")).alias("near_items"),
     )
 
 
@@ -247,9 +275,34 @@ hit AS (
   FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM (SELECT DISTINCT doc_id, n, s FROM found)) GROUP BY doc_id),
 named AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id),
+places AS (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS place FROM docs),
+freq AS (SELECT word, count(*) AS f FROM places GROUP BY word),
+texts AS (SELECT row_number() OVER () AS i, item_id, words, len(words) AS n FROM items WHERE len(words) > 0),
+asked AS (SELECT i, n, unnest(words) AS word, unnest(range(n)) AS o FROM texts),
+spread AS (
+  SELECT i, n, s, o, word, f
+  FROM (SELECT i, n, word, o, unnest(range(greatest(1, n - 9))) AS s FROM asked) LEFT JOIN freq USING (word)
+  WHERE o BETWEEN s AND s + 9),
+ranked AS (
+  SELECT i, n, o, word, row_number() OVER own AS rank, coalesce(lead(o) OVER own, o) AS o2,
+    coalesce(lead(word) OVER own, word) AS word2, bool_and(f IS NOT NULL) OVER (PARTITION BY i, s) AS known
+  FROM spread WINDOW own AS (PARTITION BY i, s ORDER BY f, word, o)),
+anchors AS (SELECT DISTINCT i, n, o, word, o2, word2 FROM ranked WHERE rank = 1 AND known),
+starts AS (
+  SELECT DISTINCT doc_id, i, n, place - o AS b FROM anchors JOIN places USING (word) JOIN docs USING (doc_id)
+  WHERE place - o + o2 + 4 >= 1
+    AND list_contains(words[greatest(1, place - o + o2 - 2) : place - o + o2 + 4], word2)),
+met AS (
+  SELECT doc_id, i, n, b, o FROM starts JOIN asked USING (i, n) JOIN docs USING (doc_id)
+  WHERE b + o + 4 >= 1 AND list_contains(words[greatest(1, b + o - 2) : b + o + 4], word)),
+runs AS (
+  SELECT DISTINCT doc_id, i
+  FROM (SELECT *, o - row_number() OVER (PARTITION BY doc_id, i, b ORDER BY o) AS run FROM met)
+  GROUP BY doc_id, i, n, b, run HAVING count(*) >= least(n, 10)),
+near AS (SELECT doc_id, count(DISTINCT item_id) AS near_items FROM runs JOIN texts USING (i) GROUP BY doc_id)
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
-  coalesce(n_hit, 0) > 0 AS contaminated
-FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+  coalesce(n_hit, 0) > 0 AS contaminated, coalesce(near_items, 0) AS near_items
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN near USING (doc_id)
 """

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import duckdb
 import pytest
@@ -18,8 +19,30 @@ def words(text):
     return WORD.findall((text or "").translate({i: i + 32 for i in range(65, 91)}))
 
 
+def plain_near(docs, items, slop=3):
+    """{(id, text): items near in it}, by looking at every place."""
+    own = {(d or 0, t or ""): words(t) for d, t in docs}
+    often = Counter(w for ws in own.values() for w in ws)
+    near = {k: set() for k in own}
+    for name, item in items:
+        w = words(item)
+        n = min(10, len(w))
+        for s in range(len(w) - n + 1) if n else ():
+            if not all(often[x] for x in w[s : s + n]):
+                continue
+            rare = sorted(range(s, s + n), key=lambda o: (often[w[o]], w[o].encode(), o))[:2]
+            for key, ws in own.items():
+                for at in (at for at, x in enumerate(ws) if x == w[rare[0]]):
+                    begin = at - rare[0]
+                    there = lambda o: w[o] in ws[max(0, begin + o - slop) : max(0, begin + o + slop + 1)]
+                    runs = "".join("x" if there(o) else " " for o in range(len(w))) if there(rare[-1]) else ""
+                    if "x" * n in runs and name is not None:
+                        near[key].add(name)
+    return near
+
+
 def plain(docs, items):
-    out = []
+    out, near = [], plain_near(docs, items)
     for d, text in docs:
         own, hit, names = words(text), set(), set()
         for name, item in items:
@@ -32,7 +55,7 @@ def plain(docs, items):
                         if name is not None:
                             names.add(str(name))
         listed = ",".join(sorted(names))
-        out.append((d, len(own), len(hit), len(names), hashlib.sha256(listed.encode()).hexdigest(), bool(hit)))
+        out.append((d, len(own), len(hit), len(names), hashlib.sha256(listed.encode()).hexdigest(), bool(hit), len(near[(d or 0, text or "")])))
     return sorted(out, key=repr)
 
 
@@ -82,6 +105,9 @@ def test_proximity(spark):
     near = {r[0] for r in dec.near_matches(items, index, slop=2).select("_id").collect()}
     exact = {r[0] for r in dec.exact_matches(items, index).select("_id").collect()}
     assert exact == {1} and near == {1, 2, 4, 6}
+    got = {r.doc_id: (r.n_items, r.near_items, r.contaminated) for r in dec.contaminated(frame, bench).collect()}
+    want = {d: (int(d == 1), len(near), d == 1) for (d, _), near in plain_near(docs, [(1, item)]).items()}
+    assert got == want and {d for d, (_, n, _) in got.items() if n} == {1, 2, 4, 6}
 
 
 @pytest.mark.parametrize("docs, items", [([], [(1, "a b")]), ([(1, "a b")], []), ([], [])])
@@ -100,6 +126,15 @@ def test_query_equals_sql(spark):
     assert differences(got.toPandas(), db.sql(dec.ORACLE).df()) is None
 
 
+def test_near_words_are_not_met_each_with_each(spark):
+    """A term that fills a long text meets by place: rows grow with the text, not with its square."""
+    docs, items = [(1, "a " * 2000), (2, "b a " * 1000)], [(1, "a a a a a a a a a a a a"), (2, "b a a b a a")]
+    frame, bench = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)
+    terms, index = dec.indexed(frame, bench)
+    assert dec.met_words(terms, index, slop=dec.SLOP).count() < 20 * 4000 * 2
+    assert sorted(tuple(r) for r in dec.contaminated(frame, bench).collect()) == plain(docs, items)
+
+
 def test_rows_alike_are_one_in_the_index(spark):
     docs = [(7, "a b c d e f g h i j k a")] * 500 + [(8, "a b c")] * 3 + [(None, None)] * 4
     items = [(1, "b c d e f g h i j k")]
