@@ -124,7 +124,7 @@ texts AS (
   FROM entries GROUP BY id),
 typed AS (
   SELECT id, available, minimum_term, maximum_term, balcony_or_roof_terrace, rooms_text, mates_text,
-    furnishings_text,
+    furnishings_text, bills_text, broadband_text, garden_text, living_text,
     {{bool:bills_text}} AS bills_included,
     {{bool:broadband_text}} AS broadband_included,
     {{bool:furnishings_text}} AS furnishings,
@@ -275,6 +275,17 @@ MARKERS = (
     f"AND NOT {FAVOURITE} AND location IS NOT NULL"
 )
 
+# Field and the column of its page text.
+PAGE_TEXTS = {
+    "bills_included": "bills_text", "broadband_included": "broadband_text", "furnishings": "furnishings_text",
+    "garden_or_patio": "garden_text", "living_room": "living_text", "number_of_flatmates": "mates_text",
+    "total_number_of_rooms": "rooms_text",
+}
+UNREAD = "".join(
+    f" UNION ALL SELECT 1, 'unread_{name}', count(*) FROM fresh WHERE {column} IS NOT NULL AND {name} IS NULL"
+    for name, column in PAGE_TEXTS.items()
+) + "".join(f" UNION ALL SELECT 1, 'no_route_{n}', count(*) FROM fresh WHERE location_{n} = 'N/A'" for n in (1, 2))
+
 # Two daily runs: what the result pages name, what is parsed, what is kept, what is still up.
 RUNS = """, wanted AS (
   SELECT DISTINCT CAST(o_orderkey * 5 + j * 7 AS VARCHAR) AS id
@@ -416,7 +427,7 @@ ORACLES: dict[str, str] = {
         "UNION ALL SELECT 2, 'stored', count(*) FROM added UNION ALL SELECT 2, 'active', count(*) FROM live "
         "UNION ALL SELECT 2, 'expired', (SELECT count(*) FROM added) - (SELECT count(*) FROM live) "
         "UNION ALL SELECT 2, 'dropped', 0 UNION ALL SELECT 2, 'invalid_statuses', 0 "
-        "UNION ALL SELECT 2, 'listings', count(*) FROM live"
+        f"UNION ALL SELECT 2, 'listings', count(*) FROM live {UNREAD}"
     ),
     "marker_features": listing_sql(
         f"SELECT 'Feature' AS type, 'Point' AS geometry, * FROM ({MARKERS})"
