@@ -322,6 +322,13 @@ def run_counts(spark, sf_dir):
     return first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2)))
 
 
+def run_rejects(spark, sf_dir):
+    """What a first run did not take, and the retrieved urls without a page, from its table."""
+    paths = daily_inputs(spark, sf_dir)
+    daily.daily_run(spark, paths, replace(CONFIG, number_of_pages=2**62))
+    return tables.load_rejects(spark, paths.rejects)
+
+
 def marker_features(spark, sf_dir):
     """The GeoJSON lines of the markers, read back."""
     kind = (
@@ -377,5 +384,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "status_stream": status_stream,
     "daily_run": daily_run,
     "run_counts": run_counts,
+    "run_rejects": run_rejects,
     "marker_features": marker_features,
 }

@@ -429,6 +429,11 @@ ORACLES: dict[str, str] = {
         "UNION ALL SELECT 2, 'dropped', 0 UNION ALL SELECT 2, 'invalid_statuses', 0 "
         f"UNION ALL SELECT 2, 'listings', count(*) FROM live {UNREAD}"
     ),
+    "run_rejects": listing_sql(
+        f"{RUNS} SELECT '{D.DOMAIN}/' || url AS url, id, reason FROM fresh WHERE reason IS NOT NULL "
+        f"UNION ALL SELECT '{D.DOMAIN}/listing?listing_id=' || id || '&mode=list', id, 'no page' "
+        "FROM wanted WHERE id NOT IN (SELECT id FROM base)"
+    ),
     "marker_features": listing_sql(
         f"SELECT 'Feature' AS type, 'Point' AS geometry, * FROM ({MARKERS})"
     ),
