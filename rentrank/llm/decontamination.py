@@ -128,13 +128,14 @@ def met_words(items: DataFrame, index: DataFrame, window: int = WINDOW, slop: in
     that place after ``_begin``, or, if ``_exact``, at it.
     """
     asked, lists = _asked(saved(candidates(items, index, window, slop), "candidates"), items, index)
-    if slop:
-        asked = asked.withColumn("_place", F.explode(F.sequence(F.col("_wanted") - slop, F.col("_wanted") + slop)))
-    else:
-        asked = asked.withColumn("_place", F.col("_wanted"))
-    met = asked.join(lists.distinct(), [*DOC, "_term", "_place"])
+    lists, columns = lists.distinct(), [*DOC, "_item", "_len", "_begin", "_off"]
+    if not slop:
+        met = asked.withColumnRenamed("_wanted", "_place").join(lists, [*DOC, "_term", "_place"])
+        return met.select(*columns, F.lit(True).alias("_exact"))
+    places = F.explode(F.sequence(F.col("_wanted") - slop, F.col("_wanted") + slop))
+    met = asked.withColumn("_place", places).join(lists, [*DOC, "_term", "_place"])
     at_place = F.max(F.col("_place") == F.col("_wanted")).alias("_exact")
-    return met.groupBy(*DOC, "_item", "_len", "_begin", "_off").agg(at_place)
+    return met.groupBy(*columns).agg(at_place)
 
 
 def _runs(met: DataFrame, window: int) -> DataFrame:
