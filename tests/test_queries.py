@@ -26,3 +26,13 @@ def test_query_equals_oracle(spark, db, name):
 
 def test_entry(spark):
     assert entry(spark).columns[0] == "status"
+
+
+def test_features_and_sizes_of_a_listing_are_worked_out_once(spark):
+    """Filters on what comes of the feature map do not make it anew."""
+    from testbed.catalog import rejected_reasons, valid_listings
+
+    for query in (valid_listings, rejected_reasons):
+        plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("map_from_entries") == 1
+    assert plan.count("THEN double ELSE single END") == 1  # no second time for the filter on the reason

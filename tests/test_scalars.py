@@ -130,3 +130,11 @@ def test_scalars_need_no_python_worker(spark):
     column = text.clean_string(F.col("s"))
     plan = spark.createDataFrame([("a",)], "s string").select(column)
     assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_numbers_without_exponent_are_written_without_a_cast_that_fails(evaluate, monkeypatch):
+    """A failing ``try_cast`` throws and catches an exception a row; as a plain cast it fails the query."""
+    kind = type(F.lit(1))
+    monkeypatch.setattr(kind, "try_cast", kind.cast)
+    values = [0.0, -0.5, 51.3, 0.001, 1234.5, 1e16, -0.0, None]
+    assert evaluate(text.float_text, values, "double") == ["0.0", "-0.5", "51.3", "0.001", "1234.5", "1e+16", "-0.0", None]
