@@ -36,3 +36,12 @@ def test_features_and_sizes_of_a_listing_are_worked_out_once(spark):
         plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("map_from_entries") == 1
     assert plan.count("THEN double ELSE single END") == 1  # no second time for the filter on the reason
+
+
+def test_rows_that_are_read_twice_are_made_once(spark):
+    """A sort reads its rows for the bounds and again, a union once per side: they are written first."""
+    from testbed.catalog import export_ranked
+
+    for query in (export_ranked,):
+        plan = query(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan
