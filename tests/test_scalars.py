@@ -60,6 +60,11 @@ def test_id_from_url(evaluate, values):
     assert evaluate(text.id_from_url, values) == [rule(v) for v in values]
 
 
+def test_id_from_url_compiles_no_pattern_for_each_url(spark):
+    found = spark.createDataFrame([("a=1&b=2",)], "url string").select(text.id_from_url(F.col("url")))
+    assert "split" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
 def test_clean_string(evaluate):
     values = ["  Bond Street ", "ＡＢＣ", "ﬁve x²", "\x1cYes\x85", "plain", ""]
     expected = ["bond street", "abc", "five x2", "yes", "plain", ""]
